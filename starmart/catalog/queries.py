@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -45,53 +46,51 @@ class Model:
     """Sources and tables of one data set, each a lazy plan over the given tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-
-    def __getattr__(self, name: str) -> DataFrame:
-        if name in schemas.SOURCES:
-            return getattr(samples, name)(self.spark, self.sf_dir)
-        raise AttributeError(name)
+        sources = samples.sources(spark, sf_dir)
+        self.business, self.review, self.checkin, self.tip, self.user = (
+            sources[name] for name in ("business", "review", "checkin", "tip", "user")
+        )
 
     def activity(self, *names: str, score_col: str | None = None) -> DataFrame:
         return events.activity_rows(**{n: getattr(self, n) for n in names}, score_col=score_col)
 
-    @property
+    @cached_property
     def all_activity(self) -> DataFrame:
         return self.activity("review", "checkin", "tip")
 
-    @property
+    @cached_property
     def profile(self) -> DataFrame:
         return dims.dim_business_profile(self.business)
 
-    @property
+    @cached_property
     def dim_user(self) -> DataFrame:
         return dims.dim_user(self.user)
 
-    @property
+    @cached_property
     def timestamp_days(self) -> DataFrame:
         return dims.dim_date(events.timestamp_dates(self.review, self.checkin, self.tip), "marketing")
 
-    @property
+    @cached_property
     def dim_business(self) -> DataFrame:
         return dims.dim_business(self.business, events.business_review_stats(self.activity("review")))
 
-    @property
+    @cached_property
     def dim_business_location(self) -> DataFrame:
         return dims.dim_business_location(self.business, dims.dim_location_keys(self.business))
 
-    @property
+    @cached_property
     def monthly_fact(self) -> DataFrame:
         return facts.monthly_fact(self.all_activity)
 
-    @property
+    @cached_property
     def operations(self) -> DataFrame:
         return facts.operational_daily_fact(self.activity("review", "checkin", score_col="score"))
 
-    @property
+    @cached_property
     def operations_days(self) -> DataFrame:
         return dims.dim_date(events.review_checkin_dates(self.activity("review", "checkin")), "operations")
 
-    @property
+    @cached_property
     def engagement(self) -> DataFrame:
         """The engagement fact without its two count columns, which the dashboard does not read."""
         return facts.engagement_rows(self.review, self.timestamp_days, self.dim_user, self.profile)
@@ -103,7 +102,7 @@ class Model:
 @query
 def parse_timestamps(spark, sf_dir):
     """Timestamps parsed from clean, padded, single-digit, cut-off and empty texts."""
-    review = samples.review(spark, sf_dir)
+    review = Model(spark, sf_dir).review
     line = F.col("useful")
     moment = F.to_timestamp("date")
     text = (
@@ -121,7 +120,7 @@ def parse_timestamps(spark, sf_dir):
 @query
 def json_reject_stats(spark, sf_dir):
     """Kept and rejected lines of a JSON file of all reviews in which some lines are cut off."""
-    review = samples.review(spark, sf_dir).select(*schemas.REVIEW.fieldNames())
+    review = Model(spark, sf_dir).review.select(*schemas.REVIEW.fieldNames())
     line = F.to_json(F.struct("*"))
     cut = F.when(F.col("useful") == 7, F.expr("left(line, length(line) - 2)")).otherwise(F.col("line"))
     path = scratch(spark)
@@ -164,7 +163,7 @@ def dashboard_payload(spark, sf_dir):
 
 @query
 def review_votes_projection(spark, sf_dir):
-    return samples.review(spark, sf_dir).select(
+    return Model(spark, sf_dir).review.select(
         "review_id", F.col("useful").alias("useful_votes"), F.col("funny").alias("funny_votes"),
         F.col("cool").alias("cool_votes"),
     )
@@ -181,20 +180,20 @@ def engagement_score(spark, sf_dir):
 
 @query
 def compliment_total(spark, sf_dir):
-    return samples.user(spark, sf_dir).select(
+    return Model(spark, sf_dir).user.select(
         "user_id", measures.null_safe_sum(schemas.COMPLIMENTS).alias("compliment_count")
     )
 
 
 @query
 def attributes_json(spark, sf_dir):
-    business = samples.business(spark, sf_dir)
+    business = Model(spark, sf_dir).business
     return business.select("business_id", dims.attributes_json(business).alias("attributes_json"))
 
 
 @query
 def subcategory(spark, sf_dir):
-    return dims.business_subcategory(samples.business(spark, sf_dir))
+    return dims.business_subcategory(Model(spark, sf_dir).business)
 
 
 @query
@@ -208,7 +207,7 @@ def rating_decimal(spark, sf_dir):
 
 @query
 def checkin_events(spark, sf_dir):
-    return events.checkin_events(samples.checkin(spark, sf_dir))
+    return events.checkin_events(Model(spark, sf_dir).checkin)
 
 
 @query
@@ -258,12 +257,12 @@ def daily_checkins(spark, sf_dir):
 
 @query
 def tip_counts(spark, sf_dir):
-    return events.tip_counts(samples.tip(spark, sf_dir))
+    return events.tip_counts(Model(spark, sf_dir).tip)
 
 
 @query
 def checkin_counts(spark, sf_dir):
-    return events.checkin_counts(samples.checkin(spark, sf_dir))
+    return events.checkin_counts(Model(spark, sf_dir).checkin)
 
 
 # ---- dimensions ----
@@ -287,27 +286,27 @@ def dim_date_investor(spark, sf_dir):
 
 @query
 def dim_location(spark, sf_dir):
-    return dims.dim_location(samples.business(spark, sf_dir))
+    return dims.dim_location(Model(spark, sf_dir).business)
 
 
 @query
 def distinct_locations(spark, sf_dir):
-    return dims.distinct_locations(samples.business(spark, sf_dir))
+    return dims.distinct_locations(Model(spark, sf_dir).business)
 
 
 @query
 def dim_location_keys(spark, sf_dir):
-    return dims.dim_location_keys(samples.business(spark, sf_dir))
+    return dims.dim_location_keys(Model(spark, sf_dir).business)
 
 
 @query
 def dim_category(spark, sf_dir):
-    return dims.dim_category(samples.business(spark, sf_dir))
+    return dims.dim_category(Model(spark, sf_dir).business)
 
 
 @query
 def dim_category_keys(spark, sf_dir):
-    return dims.dim_category_keys(samples.business(spark, sf_dir))
+    return dims.dim_category_keys(Model(spark, sf_dir).business)
 
 
 @query
@@ -334,7 +333,7 @@ def dim_user(spark, sf_dir):
 
 @query
 def dim_review(spark, sf_dir):
-    return dims.dim_review(samples.review(spark, sf_dir))
+    return dims.dim_review(Model(spark, sf_dir).review)
 
 
 # ---- bridges ----
@@ -342,7 +341,7 @@ def dim_review(spark, sf_dir):
 
 @query
 def category_bridge(spark, sf_dir):
-    business = samples.business(spark, sf_dir)
+    business = Model(spark, sf_dir).business
     return bridges.category_bridge(business, dims.dim_category(business))
 
 

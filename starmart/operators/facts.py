@@ -50,14 +50,13 @@ def daily_fact(activity: DataFrame, dim_business: DataFrame, dim_date: DataFrame
     business and day.
     """
     businesses = dim_business.select(F.col("business_nk").alias("business_id"), "business_key")
-    dates = F.broadcast(dim_date.select("date_key"))  # at most one row per calendar day
+    dates = F.broadcast(dim_date.select(F.col("full_date").alias("date")))  # one row per calendar day at most
     keyed = (
         daily_rollup(activity)
-        .withColumn("date_key", date_key("date"))
-        .join(dates, "date_key", "left_semi")
+        .join(dates, "date", "left_semi")
         .join(businesses, "business_id")
         .select(
-            "business_key", "date_key", "review_count",
+            "business_key", date_key("date").alias("date_key"), "review_count",
             F.coalesce(mean("star_sum", "star_count"), F.lit(0.0)).alias("average_stars"),
             "checkin_count",
             # business_key counts businesses in digest order, so this bucket grows with it
@@ -123,15 +122,20 @@ def engagement_fact(
 
 def _review_keys(review: DataFrame, dim_date: DataFrame):
     heavy_user, heavy_business = heavy_keys(review, ["user_id"], ["business_id"])
-    dates = F.broadcast(dim_date.select("date_id").distinct())  # at most one row per calendar day
-    rows = review.select(
-        "review_id", "user_id", "business_id",
-        date_key(parse_timestamp("date").cast("date")).alias("date_id"),
-        F.col("stars").cast("int").alias("stars"),
-        F.col("useful").alias("useful_votes"),
-        F.col("funny").alias("funny_votes"),
-        F.col("cool").alias("cool_votes"),
-    ).join(dates, "date_id", "left_semi")
+    dates = F.broadcast(dim_date.select(F.col("full_date").alias("date")))  # one row per calendar day at most
+    rows = (
+        review.select(
+            "review_id", "user_id", "business_id",
+            parse_timestamp("date").cast("date").alias("date"),
+            F.col("stars").cast("int").alias("stars"),
+            F.col("useful").alias("useful_votes"),
+            F.col("funny").alias("funny_votes"),
+            F.col("cool").alias("cool_votes"),
+        )
+        .join(dates, "date", "left_semi")
+        .withColumn("date_id", date_key("date"))
+        .drop("date")
+    )
     return rows, heavy_user, heavy_business
 
 

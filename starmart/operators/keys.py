@@ -15,8 +15,8 @@ def digest(*columns: str) -> Column:
 
 
 def digest_bucket(digest_column: str | Column) -> Column:
-    """Bucket 0..65535 that grows with the digest."""
-    return F.conv(F.substring(digest_column, 1, 4), 16, 10).cast("int")
+    """Bucket 0..65535 that grows with the digest. Never null, and known to Spark as such."""
+    return F.coalesce(F.conv(F.substring(digest_column, 1, 4), 16, 10).cast("int"), F.lit(0))
 
 
 def number_rows(rows: DataFrame, key: str, bucket: str, order: list[str]) -> DataFrame:
@@ -26,15 +26,17 @@ def number_rows(rows: DataFrame, key: str, bucket: str, order: list[str]) -> Dat
     the buckets before it, so no task holds more than its buckets. The running
     total is over at most ``BUCKETS`` rows, which also bounds the broadcast.
     """
-    sizes = rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("_size"))
+    within = Window.partitionBy(bucket).orderBy(*[F.asc_nulls_first(c) for c in order])
+    numbered = rows.withColumn("_position", F.row_number().over(within))
+    # The last row of a bucket tells its size. Taking the whole row keeps this
+    # branch's shuffle identical to the other one, so Spark runs it only once.
+    last = F.max(F.struct("_position", *rows.columns))["_position"]
+    sizes = numbered.groupBy(bucket).agg(last.alias("_size"))
     offsets = sizes.select(
         bucket, (F.sum("_size").over(Window.orderBy(bucket)) - F.col("_size")).alias("_offset")
     )
-    within = Window.partitionBy(bucket).orderBy(*[F.asc_nulls_first(c) for c in order])
-    return (
-        rows.withColumn("_position", F.row_number().over(within))
-        .join(F.broadcast(offsets), bucket)
-        .select((F.col("_offset") + F.col("_position")).alias(key), *rows.columns)
+    return numbered.join(F.broadcast(offsets), bucket).select(
+        (F.col("_offset") + F.col("_position")).alias(key), *rows.columns
     )
 
 

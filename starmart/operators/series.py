@@ -18,8 +18,8 @@ def weekly_series(weekly: DataFrame, week: str, value: str) -> DataFrame:
     """(date, value) from weeks given as a date, as ISO text or as epoch seconds."""
     text = F.col(week).cast("string")
     date = F.coalesce(
+        F.timestamp_seconds(text.try_cast("bigint")).cast("date"),  # first: a short number reads as a year
         F.substring(text, 1, 10).try_cast("date"),
-        F.timestamp_seconds(text.try_cast("bigint")).cast("date"),
     )
     return weekly.select(date.alias("date"), F.col(value).alias("value")).na.drop(subset=["date"])
 

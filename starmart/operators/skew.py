@@ -75,10 +75,10 @@ def lookup_join(
 
     if not null_safe:
         return left.join(right, [*on, "_salt"], how).select(*_kept(rows, lookup, on, how))
-    right = right.withColumnsRenamed({c: f"_{c}" for c in on})
-    matches = left["_salt"] == right["_salt"]
+    right = right.withColumnsRenamed({c: f"_{c}" for c in [*on, "_salt"]})
+    matches = F.col("_salt") == F.col("__salt")
     for c in on:
-        matches = matches & left[c].eqNullSafe(right[f"_{c}"])
+        matches = matches & F.col(c).eqNullSafe(F.col(f"_{c}"))
     return left.join(right, matches, how).select(*_kept(rows, lookup, on, how))
 
 

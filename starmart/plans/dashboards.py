@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starmart.functions.dates import week_start
 from starmart.functions.measures import engagement_score, mean, review_group, review_group_rank
-from starmart.operators.skew import heavy_keys, lookup_join
+from starmart.operators.skew import lookup_join
 
 TOP_K = 10
 SHARED_BUCKETS = 1 << 16
@@ -129,31 +129,31 @@ def top_categories(engagement: DataFrame, profile: DataFrame, k: int = TOP_K) ->
     """
     bridge = (
         profile.select("business_id", F.explode("categories").alias("category_name"))
-        .filter("category_name != ''").distinct()
+        .filter("business_id is not null and category_name != ''").distinct()
     )
-    reviews = engagement.select(
-        "review_id", "business_id", F.pmod(F.xxhash64("review_id"), F.lit(SHARED_BUCKETS)).alias("bucket")
-    ).na.drop()
-    owners = reviews.groupBy("review_id", "bucket").agg(
-        F.min("business_id").alias("business_id"), F.max("business_id").alias("last_business_id")
+    # One shuffle of these pairs serves all their uses below. The joins would
+    # add the null filters to some of the uses only; stated here, all are alike.
+    pairs = (
+        engagement.select("review_id", "business_id")
+        .filter("review_id is not null and business_id is not null")
+        .withColumn("bucket", F.xxhash64("review_id").bitwiseAND(F.lit(SHARED_BUCKETS - 1)))
+        .distinct()
     )
+    businesses = pairs.groupBy("review_id", "bucket").agg(F.count(F.lit(1)).alias("n"))
     # At most SHARED_BUCKETS rows, and none when ids are unique.
-    shared_buckets = F.broadcast(
-        owners.filter("business_id != last_business_id").select("bucket").distinct()
-    )
+    shared_buckets = F.broadcast(businesses.filter("n > 1").select("bucket").distinct())
 
     per_business = (
-        owners.join(shared_buckets, "bucket", "left_anti")
+        pairs.join(shared_buckets, "bucket", "left_anti")
         .groupBy("business_id").agg(F.count(F.lit(1)).alias("n"))
     )
     counted = per_business.join(bridge, "business_id").groupBy("category_name").agg(F.sum("n").alias("n"))
 
-    shared = reviews.join(shared_buckets, "bucket", "left_semi").select("review_id", "business_id")
-    heavy = heavy_keys(shared, ["business_id"])[0]
-    expanded = lookup_join(
-        shared.distinct(), bridge, ["business_id"], "inner", [(heavy, ["business_id"])]
-    ).groupBy("category_name").agg(F.count_distinct("review_id").alias("n"))
-
+    shared = pairs.join(shared_buckets, "bucket", "left_semi")
+    expanded = (
+        lookup_join(shared, bridge, ["business_id"], "inner")
+        .groupBy("category_name").agg(F.count_distinct("review_id").alias("n"))
+    )
     return (
         counted.unionByName(expanded)
         .groupBy("category_name").agg(F.sum("n").alias("review_count"))

@@ -14,8 +14,16 @@ from starmart.schemas import COMPLIMENTS
 TEXT_TIME = "yyyy-MM-dd HH:mm:ss"
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+class Tables:
+    """The given tables; each is opened once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir, self._open = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._open:
+            self._open[name] = self._spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
+        return self._open[name]
 
 
 def _text(column: str | Column) -> Column:
@@ -27,10 +35,10 @@ def _time(column: str | Column) -> Column:
     return F.date_format(column, TEXT_TIME)
 
 
-def business(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _table(spark, sf_dir, "part")
+def business(tables: Tables) -> DataFrame:
+    part = tables["part"]
     # a fixed list of 25 nations
-    nation = F.broadcast(_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nation = F.broadcast(tables["nation"].select("n_nationkey", "n_name"))
     size, key = F.col("p_size"), F.col("p_partkey")
     listed = F.concat_ws(", ", "p_type", "p_brand", F.translate("p_name", " ", ","))
     return part.join(nation, F.col("n_nationkey") == key % 25).select(
@@ -52,17 +60,17 @@ def business(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return _table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+def _order_lines(tables: Tables) -> DataFrame:
+    orders = tables["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
+    return tables["lineitem"].join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def review(spark: SparkSession, sf_dir: str) -> DataFrame:
+def review(tables: Tables) -> DataFrame:
     """Reviews with one extra column, ``score``, the optional per-review score."""
     review_id = F.concat_ws(
         "-", *[_text(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
     )
-    return _order_lines(spark, sf_dir).select(
+    return _order_lines(tables).select(
         review_id.alias("review_id"),
         _text("o_custkey").alias("user_id"),
         _text("l_partkey").alias("business_id"),
@@ -76,8 +84,8 @@ def review(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _order_lines(spark, sf_dir).filter("l_returnflag = 'R'").select(
+def tip(tables: Tables) -> DataFrame:
+    return _order_lines(tables).filter("l_returnflag = 'R'").select(
         _text("o_custkey").alias("user_id"),
         _text("l_partkey").alias("business_id"),
         F.concat(F.lit("t "), _text("l_orderkey")).alias("text"),
@@ -86,10 +94,10 @@ def tip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def checkin(spark: SparkSession, sf_dir: str) -> DataFrame:
+def checkin(tables: Tables) -> DataFrame:
     """Check-in lists of one to three times. A business has many rows, so no list grows with the data."""
     shipped, line = F.col("l_shipdate"), F.col("l_linenumber")
-    from_lines = _table(spark, sf_dir, "lineitem").filter("l_linestatus = 'O'").select(
+    from_lines = tables["lineitem"].filter("l_linestatus = 'O'").select(
         _text("l_partkey").alias("business_id"),
         F.concat_ws(
             ", ",
@@ -98,19 +106,19 @@ def checkin(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(line % 3 == 2, _time(shipped + F.expr("interval 9 days"))),
         ).alias("date"),
     )
-    from_events = _table(spark, sf_dir, "events").select(
+    from_events = tables["events"].select(
         _text("user_id").alias("business_id"), _time("ts").alias("date")
     )
     return from_lines.unionByName(from_events)
 
 
-def user(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user(tables: Tables) -> DataFrame:
     key = F.col("c_custkey")
     compliments = [
         F.nullif(key % modulus, F.lit(0)).cast("bigint").alias(name)
         for name, modulus in zip(COMPLIMENTS, range(5, 5 + len(COMPLIMENTS)))
     ]
-    return _table(spark, sf_dir, "customer").select(
+    return tables["customer"].select(
         _text("c_custkey").alias("user_id"),
         F.col("c_name").alias("name"),
         F.concat(_text(F.lit(2005) + key % 15), F.lit("-01-15 08:30:00")).alias("yelping_since"),
@@ -123,4 +131,5 @@ def user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {f.__name__: f(spark, sf_dir) for f in (business, review, checkin, tip, user)}
+    tables = Tables(spark, sf_dir)
+    return {make.__name__: make(tables) for make in (business, review, checkin, tip, user)}
