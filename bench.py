@@ -26,8 +26,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 DIRECT = [
-    "activity_dates", "avg_stars_monthly", "daily_fact", "engagement_fact", "investor_kpis", "manager_kpis",
-    "monthly_fact", "top_categories", "top_states", "top_subcategories", "weekly_performance",
+    "avg_stars_monthly", "daily_fact", "engagement_fact", "monthly_fact", "top_categories", "top_subcategories",
 ]
 
 

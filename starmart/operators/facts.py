@@ -122,21 +122,20 @@ def engagement_fact(
 
 def _review_keys(review: DataFrame, dim_date: DataFrame):
     heavy_user, heavy_business = heavy_keys(review, ["user_id"], ["business_id"])
-    dates = F.broadcast(dim_date.select(F.col("full_date").alias("date")))  # one row per calendar day at most
-    rows = (
-        review.select(
-            "review_id", "user_id", "business_id",
-            parse_timestamp("date").cast("date").alias("date"),
-            F.col("stars").cast("int").alias("stars"),
-            F.col("useful").alias("useful_votes"),
-            F.col("funny").alias("funny_votes"),
-            F.col("cool").alias("cool_votes"),
-        )
-        .join(dates, "date", "left_semi")
-        .withColumn("date_id", date_key("date"))
-        .drop("date")
+    # One row per calendar day at most, and never a null one.
+    days = F.broadcast(dim_date.select(F.col("full_date").alias("day")).na.drop())
+    rows = review.select(
+        "review_id", "user_id", "business_id",
+        parse_timestamp("date").cast("date").alias("date"),
+        F.col("stars").cast("int").alias("stars"),
+        F.col("useful").alias("useful_votes"),
+        F.col("funny").alias("funny_votes"),
+        F.col("cool").alias("cool_votes"),
     )
-    return rows, heavy_user, heavy_business
+    # The null-safe match equals a plain one here, without the null check that
+    # Spark would push below the projection, parsing every date a second time.
+    rows = rows.join(days, F.col("date").eqNullSafe(F.col("day")), "left_semi")
+    return rows.withColumn("date_id", date_key("date")).drop("date"), heavy_user, heavy_business
 
 
 def _known(rows: DataFrame, dimension: DataFrame, key: str, heavy) -> DataFrame:

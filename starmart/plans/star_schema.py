@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,66 +18,68 @@ def build_star_schema(
     sources: dict[str, DataFrame],
     out: str,
     score_col: str | None = None,
-    parallel: int = 4,
+    parallel: int = 8,
 ) -> dict[str, int]:
     """Write all tables below ``out`` and return their row counts.
 
     The events are read once into daily counters, and most tables come from
     those. Tables are built from stored tables rather than from recomputed
-    plans, so a lost executor costs a task and not a lineage.
+    plans, so a lost executor costs a task and not a lineage. Tables that do
+    not need one another are written by concurrent jobs.
     """
     business, review, checkin, tip, user = (
         sources[name] for name in ("business", "review", "checkin", "tip", "user")
     )
-    counts: dict[str, int] = {}
-
-    def store(tables: dict[str, DataFrame]) -> None:
-        """Write independent tables as concurrent jobs."""
-        with ThreadPoolExecutor(parallel) as pool:
-            rows = pool.map(lambda item: write_table(item[1], f"{out}/{item[0]}"), tables.items())
-            counts.update(zip(tables, rows))
+    written: dict[str, Future] = {}
 
     def stored(name: str) -> DataFrame:
+        """The table under ``name``, as soon as it is written."""
+        written[name].result()
         return read_table(spark, out, name)
 
-    store({
-        ACTIVITY: events.daily_activity(events.activity_rows(review, checkin, tip, score_col)),
-        "manager/Dim_Location": dims.dim_location(business),
-        "manager/Dim_Category": dims.dim_category(business),
-        "marketing/DimBusiness": dims.dim_business_profile(business),
-        "marketing/DimUser": dims.dim_user(user),
-        "marketing/DimReview": dims.dim_review(review),
-        "marketing/DimDate": dims.dim_date(events.timestamp_dates(review, checkin, tip), "marketing"),
-        "investor/Dim_Location": dims.dim_location_keys(business),
-        "investor/Dim_Category": dims.dim_category_keys(business),
-    })
-    del counts[ACTIVITY]
+    def activity() -> DataFrame:
+        written[ACTIVITY].result()
+        return spark.read.parquet(f"{out}/{ACTIVITY}")
 
-    activity = spark.read.parquet(f"{out}/{ACTIVITY}")
-    store({
-        "manager/Dim_Date": dims.dim_date(events.activity_dates(activity), "manager"),
-        "manager/Fact_Business_Categories": bridges.category_bridge(business, stored("manager/Dim_Category")),
-        "manager/Dim_Business": dims.dim_business(business, events.business_review_stats(activity)),
-        "manager/Fact_Business_Performance": facts.monthly_fact(activity),
-        "marketing/FactCustomerEngagement": facts.engagement_fact(
+    # In this order each table comes after those it is built from.
+    tables = {
+        ACTIVITY: lambda: events.daily_activity(events.activity_rows(review, checkin, tip, score_col)),
+        "marketing/DimDate": lambda: dims.dim_date(events.timestamp_dates(review, checkin, tip), "marketing"),
+        "marketing/DimBusiness": lambda: dims.dim_business_profile(business),
+        "marketing/DimUser": lambda: dims.dim_user(user),
+        "investor/Dim_Location": lambda: dims.dim_location_keys(business),
+        "investor/Dim_Category": lambda: dims.dim_category_keys(business),
+        "manager/Dim_Category": lambda: dims.dim_category(business),
+        "manager/Dim_Location": lambda: dims.dim_location(business),
+        "marketing/DimReview": lambda: dims.dim_review(review),
+        "marketing/FactCustomerEngagement": lambda: facts.engagement_fact(
             review, tip, checkin,
             stored("marketing/DimDate"), stored("marketing/DimUser"), stored("marketing/DimBusiness"),
         ),
-        "marketing/BusinessCategoryBridge": bridges.business_category_bridge(stored("marketing/DimBusiness")),
-        "investor/Dim_Date": dims.dim_date(events.review_checkin_dates(activity), "investor"),
-        "investor/Dim_Business": dims.dim_business_location(business, stored("investor/Dim_Location")),
-        "operations/Dim_Date": dims.dim_date(events.review_checkin_dates(activity), "operations"),
-        "operations/Fact_Operational_Performance": facts.operational_daily_fact(activity),
-    })
-    store({
-        "investor/Fact_Business_Categories": bridges.category_bridge_keys(
+        "investor/Dim_Business": lambda: dims.dim_business_location(business, stored("investor/Dim_Location")),
+        "investor/Dim_Date": lambda: dims.dim_date(events.review_checkin_dates(activity()), "investor"),
+        "investor/Fact_Business_Performance": lambda: facts.daily_fact(
+            activity(), stored("investor/Dim_Business"), stored("investor/Dim_Date")
+        ),
+        "investor/Fact_Business_Categories": lambda: bridges.category_bridge_keys(
             business, stored("investor/Dim_Category"), stored("investor/Dim_Business")
         ),
-        "investor/Fact_Business_Performance": facts.daily_fact(
-            activity, stored("investor/Dim_Business"), stored("investor/Dim_Date")
+        "manager/Fact_Business_Performance": lambda: facts.monthly_fact(activity()),
+        "manager/Fact_Business_Categories": lambda: bridges.category_bridge(
+            business, stored("manager/Dim_Category")
+        ),
+        "manager/Dim_Business": lambda: dims.dim_business(business, events.business_review_stats(activity())),
+        "manager/Dim_Date": lambda: dims.dim_date(events.activity_dates(activity()), "manager"),
+        "marketing/BusinessCategoryBridge": lambda: bridges.business_category_bridge(
+            stored("marketing/DimBusiness")
         ),
-    })
-    return counts
+        "operations/Dim_Date": lambda: dims.dim_date(events.review_checkin_dates(activity()), "operations"),
+        "operations/Fact_Operational_Performance": lambda: facts.operational_daily_fact(activity()),
+    }
+    with ThreadPoolExecutor(parallel) as pool:
+        for name, table in tables.items():
+            written[name] = pool.submit(lambda n=name, make=table: write_table(make(), f"{out}/{n}"))
+    return {name: job.result() for name, job in written.items() if name != ACTIVITY}
 
 
 def row_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
