@@ -31,8 +31,8 @@ def build_session(app_name: str = "starmart", master: str | None = None, **conf:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a local one is made only where none is set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="starmart-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starmart-"))
+        configured = spark.sparkContext.getCheckpointDir()
     return configured.rstrip("/")

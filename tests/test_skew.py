@@ -92,6 +92,44 @@ def test_top_categories_with_shared_reviews_equals_brute_force(spark):
     assert dash.top_categories(engagement, profile).collect() == brute.collect()
 
 
+def test_engagement_fact_with_a_hot_pair_equals_plain_joins(spark):
+    """A third of the reviews is one user's for one business; some keys are unknown or missing."""
+    n = F.col("id")
+    hot = n % 3 == 0
+    review = spark.range(9000).repartition(8, "id").select(
+        F.concat(F.lit("r"), "id").alias("review_id"),
+        F.when(hot, "u0").when(n % 40 == 1, None).otherwise(F.concat(F.lit("u"), n % 301)).alias("user_id"),
+        F.when(hot, "b0").otherwise(F.concat(F.lit("b"), n % 97)).alias("business_id"),
+        (n % 5 + 1).cast("double").alias("stars"),
+        n.alias("useful"), n.alias("funny"), n.alias("cool"),
+        F.when(n % 70 == 2, "bad").otherwise("2020-01-15 10:00:00").alias("date"),
+    )
+    tip = review.filter(n % 2 == 0).select("user_id", "business_id", "date")
+    checkin = spark.range(300).select(
+        F.concat(F.lit("b"), n % 60).alias("business_id"), F.lit("2020-01-15 10:00:00,2020-01-16 10:00:00").alias("date"))
+    users = spark.range(250).select(F.concat(F.lit("u"), "id").alias("user_id"))
+    businesses = spark.range(80).select(F.concat(F.lit("b"), "id").alias("business_id"))
+    days = spark.sql("select date '2020-01-15' as full_date, 20200115 as date_id")
+
+    plain = (
+        review.filter("date != 'bad'").join(users, "user_id").join(businesses, "business_id")
+        .join(tip.groupBy("user_id", "business_id").agg(F.count(F.lit(1)).alias("tip_count")),
+              ["user_id", "business_id"], "left")
+        .join(checkin.groupBy("business_id").agg((2 * F.count(F.lit(1))).alias("checkin_count")),
+              "business_id", "left")
+        .select("review_id", "user_id", "business_id", F.lit(20200115).alias("date_id"),
+                F.col("stars").cast("int"), "useful", "funny", "cool",
+                F.coalesce("tip_count", F.lit(0)), F.coalesce("checkin_count", F.lit(0)))
+    )
+    for threshold in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            ours = facts.engagement_fact(review, tip, checkin, days, users, businesses)
+            assert ordered(ours) == ordered(plain)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_dense_keys(spark):
     names = spark.range(5000).select(F.concat(F.lit("Customer#"), "id").alias("name"))
     keyed = dense_key(names, "key", ["name"])
