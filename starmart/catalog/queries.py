@@ -244,7 +244,7 @@ def monthly_tips(spark, sf_dir):
 def daily_reviews(spark, sf_dir):
     daily = facts.daily_rollup(Model(spark, sf_dir).activity("review"))
     return rounded(daily.select(
-        "business_id", "date", "review_count", (F.col("star_sum") / F.col("star_count")).alias("average_stars")
+        "business_id", "date", "review_count", measures.mean("star_sum", "star_count").alias("average_stars")
     ))
 
 

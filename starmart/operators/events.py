@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from starmart.functions.dates import parse_date, parse_timestamp
+from starmart.functions.measures import mean
 from starmart.functions.text import COMMA_ANY_SPACE, COMMA_SPACE, split_text
 
 COUNTERS = [
@@ -137,7 +138,7 @@ def business_review_stats(activity: DataFrame) -> DataFrame:
     )
     return totals.select(
         "business_id",
-        F.when(F.col("star_count") > 0, F.col("star_sum") / F.col("star_count")).alias("overall_avg_rating"),
+        mean("star_sum", "star_count").alias("overall_avg_rating"),
         F.col("review_count").alias("overall_review_count"),
     )
 

@@ -45,4 +45,5 @@ def label_series(result: DataFrame, label: str, value: str) -> DataFrame:
 
 def share_of_total(result: DataFrame, value: str) -> DataFrame:
     """Add each row's share of the total. Meant for results of a few rows, such as the user groups."""
-    return result.withColumn("share", F.col(value) / F.sum(value).over(Window.partitionBy()))
+    total = F.sum(value).over(Window.partitionBy())
+    return result.withColumn("share", F.try_divide(F.col(value), total))

@@ -82,7 +82,8 @@ def user(spark):
 
 
 def rows(frame, *columns):
-    return sorted((tuple(r) for r in frame.select(*columns or frame.columns).collect()), key=lambda row: [str(v) for v in row])
+    found = [tuple(row) for row in frame.select(*columns or frame.columns).collect()]
+    return sorted(found, key=lambda row: [str(v) for v in row])
 
 
 def test_category_lists(business):
@@ -114,8 +115,10 @@ def test_subcategory(business):
 
 def test_monthly_fact(activity):
     fact = facts.monthly_fact(activity)
-    assert rows(fact, "business_id", "month_id", "review_count", "checkin_count", "tip_count",
-                F.round("engagement_score", 6), "growth_rate") == [
+    assert rows(
+        fact, "business_id", "month_id", "review_count", "checkin_count", "tip_count",
+        F.round("engagement_score", 6), "growth_rate",
+    ) == [
         ("b1", "202001", 2, 1, 1, 2.7, None),
         ("b1", "202002", 0, 2, 1, 0.9, -1.0),
         ("b1", "202003", 1, 0, 0, 1.0, None),
