@@ -1,14 +1,14 @@
 """Mixing sources to target weights by pivotal dependent rounding.
 
 Every document gets the copy rate ``target of its source / size of its source``. The whole part of the rate is
-taken as it is. The fractional parts are rounded dependently: two documents of one source meet, and words move from
-one to the other until one of the two is taken wholly or not at all. The direction is drawn so that each document's
-chance equals its fraction, and the words taken by the pair stay the same throughout. The survivor of a pair goes
-on to the next document, so a source ends with one undecided document and its words differ from the target by less
-than that document's size.
+taken as it is. The fractional parts are rounded dependently: a document meets the next one of its source, and words move from
+one to the other until the first is taken wholly or not at all. Where the next one alone has too few words to give or
+too little room, those after it join its side. The direction is drawn so that each document's chance equals its
+fraction, and the words taken by both sides stay the same throughout. Large documents are decided first, so a source
+ends with a few small undecided ones and its words differ from the target by less than these.
 
 Documents meet inside blocks of bounded size, drawn by a hash of the document, so a source with a third of all rows
-spreads over all blocks. Each block leaves at most one undecided document per source; these meet in further rounds
+spreads over all blocks. The few documents that a block leaves undecided meet in further rounds
 that join ``FAN_IN`` blocks each, a reduction tree whose every round is a distributed grouping.
 
 Defined results: null text counts no words and takes none; a null source is a source of its own, last in order;
@@ -63,31 +63,42 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: float = MAX_RE
 
 
 def settle(rows: pd.DataFrame, seed: int) -> pd.DataFrame:
-    """Run the pairs of one group, source by source; at most one row per source stays open."""
-    rows = rows.sort_values(["source", "doc_key", "size"], na_position="last", kind="stable").reset_index(drop=True)
+    """Run the pairs of one group, source by source, large documents first; few rows stay open."""
+    rows = rows.sort_values(["source", "size", "doc_key"], ascending=[True, False, True], na_position="last", kind="stable").reset_index(drop=True)
     copies, mass, still = rows["copies"].to_numpy().copy(), rows["mass"].to_numpy().copy(), rows["open"].to_numpy().copy()
     size = rows["size"].to_numpy()
     source = rows["source"].where(rows["source"].notna(), None).tolist()
     first = rows["doc_key"].iloc[0] if len(rows) else ""
     draws = np.random.default_rng([seed, len(rows), *first.encode()]).random(len(rows))
-    held = -1
-    for i in np.flatnonzero(still):
-        if held < 0 or source[held] != source[i]:
-            held = i
-            continue
-        a, b = held, i
-        up = min(size[a] - mass[a], mass[b])      # words that can move to a
-        down = min(mass[a], size[b] - mass[b])    # words that can move to b
-        move = up if draws[i] * (up + down) < down else -down
-        mass[a] += move
-        mass[b] -= move
-        for j in (a, b):
-            if mass[j] <= 1e-9 * size[j]:
-                still[j], mass[j] = False, 0.0
-            elif mass[j] >= size[j] * (1 - 1e-9):
-                still[j], mass[j] = False, 0.0
-                copies[j] += 1
-        held = a if still[a] else b if still[b] else -1
+    live = np.flatnonzero(still)
+    for group in np.split(live, np.flatnonzero([source[i] != source[j] for i, j in zip(live, live[1:])]) + 1) if len(live) else []:
+        for at, a in enumerate(group[:-1]):
+            later = group[at + 1:]
+            need, gift = size[a] - mass[a], mass[a]
+            if need <= 1e-9 * size[a] or gift <= 1e-9 * size[a]:
+                continue
+            # What each later document can give and take, as a share of what a needs and gives.
+            able = np.minimum(mass[later] / need, (size[later] - mass[later]) / gift)
+            enough = int(np.searchsorted(np.cumsum(able), 1.0)) + 1
+            partners, share = later[:enough], able[:enough]
+            total = share.sum()
+            if total >= 1:
+                move = (need if draws[a] * size[a] < mass[a] else -gift) * share / total
+                mass[partners] -= move
+                mass[a] += move.sum()
+                continue
+            for b in later:  # too few words are left beside a: pair by pair, and a may stay open
+                up, down = min(size[a] - mass[a], mass[b]), min(mass[a], size[b] - mass[b])
+                if up + down > 0:
+                    move = up if draws[b] * (up + down) < down else -down
+                    mass[a] += move
+                    mass[b] -= move
+        for a in group:
+            if mass[a] <= 1e-9 * size[a]:
+                still[a], mass[a] = False, 0.0
+            elif mass[a] >= size[a] * (1 - 1e-9):
+                still[a], mass[a] = False, 0.0
+                copies[a] += 1
     rows["copies"], rows["mass"], rows["open"] = copies, mass, still
     return rows
 
@@ -122,7 +133,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         level = stored(left.withColumn("block", F.floor(F.col("block") / fan_in)).withColumn("__source", F.col("source"))
                        .groupBy("__source", "block").applyInPandas(lambda rows: run(rows[names]), schema), "mix")
         done, left = done.unionByName(level.where("not open")), level.where("open")
-    # One document per source may be left; it is taken with the chance that is left to it.
+    # What the root leaves is taken with the chance that is left to it.
     chance = F.pmod(F.xxhash64("doc_key", F.lit(seed + 1)), F.lit(1 << 30)) / float(1 << 30)
     last = left.withColumn("copies", F.col("copies") + (chance * F.col("size") < F.col("mass")).cast("int"))
     return done.unionByName(last).select("doc_id", "source", "size", "source_size", "target", "copies",

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starmart.llm import pivotal_mixing, splitter_sharding
-from starmart.llm.common import table
+from starmart.llm import bin_slack_packing, pivotal_mixing, splitter_sharding, varbyte_tokens
+from starmart.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -18,6 +18,27 @@ def query(run):
     return run
 
 
+def tokenizer_path(name: str) -> str:
+    """A vocabulary file of a public tokenizer, as installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op3_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = bin_slack_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0)
+    return bin_slack_packing.ids_crc32(
+        packed, ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset"])
+
+
+@query
+def op5_varbyte_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "varbyte")
+    varbyte_tokens.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"), end_id=1)
+    return varbyte_tokens.ids_crc32(varbyte_tokens.read_tokens(spark, path))
+
+
 @query
 def op8_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = pivotal_mixing.mix(table(spark, sf_dir, "documents"))
