@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starmart.llm import bin_slack_packing, pivotal_mixing, splitter_sharding, varbyte_tokens
+from starmart.llm import bin_slack_packing, kdtree_topk, pivotal_mixing, splitter_sharding, varbyte_tokens
 from starmart.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,26 @@ def op3_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         packed, ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset"])
 
 
+@query
+def op4_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree_topk.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
+
+
+ORACLE_SQL["op4_kdtree_topk"] = """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as e from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
+    from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0
+), placed as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+)
+select query_id, rank, vec_id, score from placed where rank <= 20
+"""
+
+
 @query
 def op5_varbyte_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "varbyte")
