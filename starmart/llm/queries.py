@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starmart.llm import bin_slack_packing, kdtree_topk, pivotal_mixing, splitter_sharding, varbyte_tokens
+from starmart.llm import bin_slack_packing, importance_resampling, kdtree_topk, pivotal_mixing, splitter_sharding, varbyte_tokens
 from starmart.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,14 @@ def op5_varbyte_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return varbyte_tokens.ids_crc32(varbyte_tokens.read_tokens(spark, path))
 
 
+@query
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents drawn as good, with their log ratio and their key in the draw."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    resampler = importance_resampling.Resampler(docs, table(spark, sf_dir, "labels"))
+    return resampler.sample(docs).select("doc_id", F.col("__score").alias("log_ratio"), F.col("__key").alias("draw_key"))
+
+
 @query
 def op8_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = pivotal_mixing.mix(table(spark, sf_dir, "documents"))

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from starmart.llm.common import mix64
 
@@ -33,7 +34,7 @@ def power(base: int, n: int) -> np.ndarray:
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes of text; a longer text goes alone."""
-    sizes = np.cumsum(np.asarray(pa.compute.binary_length(texts).fill_null(0)).astype(np.int64))
+    sizes = np.cumsum(np.asarray(pc.binary_length(texts).fill_null(0)).astype(np.int64))
     start, base = 0, 0
     while start < len(sizes):
         stop = max(start + 1, int(np.searchsorted(sizes, base + limit, side="right")))
