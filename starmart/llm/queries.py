@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starmart.llm import bin_slack_packing, importance_resampling, kdtree_topk, pivotal_mixing, splitter_sharding, varbyte_tokens
+from starmart.llm import (
+    bin_slack_packing, importance_resampling, kdtree_topk, oph_fingerprint, pivotal_mixing, splitter_sharding, varbyte_tokens,
+)
 from starmart.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +20,11 @@ def query(run):
     return run
 
 
+@query
+def op2_oph_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oph_fingerprint.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str) -> str:
     """A vocabulary file of a public tokenizer, as installed."""
     import public_tokenizers
