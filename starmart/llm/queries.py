@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart.llm import (
-    bin_slack_packing, importance_resampling, kdtree_topk, oph_fingerprint, pivotal_mixing, splitter_sharding, varbyte_tokens,
+    bin_slack_packing, dart_minhash, importance_resampling, kdtree_topk, oph_fingerprint, pivotal_mixing,
+    splitter_sharding, surrogate_pii, varbyte_tokens,
 )
 from starmart.llm.common import scratch_path, table
 
@@ -20,6 +21,11 @@ def query(run):
     return run
 
 
+@query
+def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.classes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_oph_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oph_fingerprint.edited_likeness(table(spark, sf_dir, "documents"))
@@ -83,3 +89,13 @@ def op8_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_splitter_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitter_sharding.shard(table(spark, sf_dir, "documents"), n_shards=40)
+
+
+#: Production takes the key from a secret store; the registered query needs a fixed one to be repeatable.
+SURROGATE_KEY = b"a key for the registered query only"
+
+
+@query
+def op10_surrogate_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogate_pii.replace(docs, SURROGATE_KEY, count="n_replaced")
