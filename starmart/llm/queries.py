@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart.llm import (
-    bin_slack_packing, dart_minhash, importance_resampling, kdtree_topk, oph_fingerprint, pivotal_mixing,
+    bin_slack_packing, bwt_dedup, dart_minhash, importance_resampling, kdtree_topk, oph_fingerprint, pivotal_mixing,
     splitter_sharding, surrogate_pii, varbyte_tokens,
 )
 from starmart.llm.common import scratch_path, table
@@ -72,6 +72,11 @@ def op5_varbyte_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return varbyte_tokens.ids_crc32(varbyte_tokens.read_tokens(spark, path))
 
 
+@query
+def op6_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents drawn as good, with their log ratio and their key in the draw."""
