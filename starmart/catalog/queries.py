@@ -20,6 +20,7 @@ from starmart.plans import dashboards as dash
 from starmart.plans.star_schema import build_star_schema, row_counts
 from starmart.session import shared_dir
 from starmart.sinks.results import payload
+from starmart.sinks.tables import write_table
 from starmart.sources import json_lines, samples
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,8 +93,11 @@ class Model:
 
     @cached_property
     def engagement(self) -> DataFrame:
-        """The engagement fact without its two count columns, which the dashboard does not read."""
-        return facts.engagement_rows(self.review, self.timestamp_days, self.dim_user, self.profile)
+        """The engagement fact without its two count columns, which the dashboard does not read.
+
+        Its calendar would be made from these very reviews, so every readable date is a known one.
+        """
+        return facts.engagement_rows(self.review, None, self.dim_user, self.profile)
 
 
 # ---- sources and sinks ----
@@ -139,10 +143,24 @@ def table_row_counts(spark, sf_dir):
 def dashboard_payload(spark, sf_dir):
     """All three dashboards as (result_set, position, row as JSON)."""
     m = Model(spark, sf_dir)
+    root = scratch(spark)
+
+    def keep(name: str, frame: DataFrame) -> DataFrame:
+        """A table that several result sets need, stored once."""
+        write_table(frame, f"{root}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{root}/{name}")
+
+    activity = keep("activity", events.daily_activity(m.activity("review", "checkin", "tip", score_col="score")))
+    engagement = keep("engagement", m.engagement)
+    profile, users = keep("profile", m.profile), keep("users", m.dim_user)
+    operations = keep("operations", facts.operational_daily_fact(activity))
+    days = keep("days", dims.dim_date(events.review_checkin_dates(activity), "operations"))
+    monthly = keep("monthly", facts.monthly_fact(activity))
+    dim_business = dims.dim_business(m.business, events.business_review_stats(activity))
     sets = {
-        "manager": dash.manager_dashboard(m.operations, m.operations_days, m.dim_user),
-        "marketing": dash.marketing_dashboard(m.engagement, m.timestamp_days, m.profile, m.dim_user),
-        "investor": dash.investor_dashboard(m.monthly_fact, m.dim_business),
+        "manager": dash.manager_dashboard(operations, days, users),
+        "marketing": dash.marketing_dashboard(engagement, None, profile, users),
+        "investor": dash.investor_dashboard(monthly, dim_business),
     }
     order = {
         "manager.timeSeries": ["week_start_date"],
@@ -387,7 +405,7 @@ def operational_daily_fact(spark, sf_dir):
 @query
 def engagement_fact(spark, sf_dir):
     m = Model(spark, sf_dir)
-    return facts.engagement_fact(m.review, m.tip, m.checkin, m.timestamp_days, m.dim_user, m.profile)
+    return facts.engagement_fact(m.review, m.tip, m.checkin, None, m.dim_user, m.profile)
 
 
 @query
@@ -437,7 +455,7 @@ def performance_by_day(spark, sf_dir):
 @query
 def avg_stars_monthly(spark, sf_dir):
     m = Model(spark, sf_dir)
-    return rounded(dash.avg_stars_monthly(m.engagement, m.timestamp_days))
+    return rounded(dash.avg_stars_monthly(m.engagement))
 
 
 @query
@@ -508,7 +526,7 @@ def weekly_series(spark, sf_dir):
 @query
 def stars_series(spark, sf_dir):
     m = Model(spark, sf_dir)
-    return rounded(series.stars_series(dash.avg_stars_monthly(m.engagement, m.timestamp_days)))
+    return rounded(series.stars_series(dash.avg_stars_monthly(m.engagement)))
 
 
 @query

@@ -13,8 +13,9 @@ TIP_WEIGHT = 0.5
 PHOTO_WEIGHT = 0.25
 CHECKIN_WEIGHT = 0.2
 
-# ---- fixed values: review-count groups in display order ----
+# ---- fixed values: review-count groups in display order, and their bounds ----
 REVIEW_GROUPS = ["0 reviews", "1-5 reviews", "6-20 reviews", "21-50 reviews", "51+ reviews"]
+REVIEW_BOUNDS = [(1, 5), (6, 20), (21, 50)]
 
 
 def engagement_score(reviews: str, tips: str, photos: str, checkins: str) -> Column:
@@ -45,14 +46,11 @@ def null_safe_sum(columns: list[str]) -> Column:
 def review_group(review_count: str) -> Column:
     """Label of the review-count group. Zero and negative counts share the first one."""
     n = F.col(review_count)
-    zero, few, some, many, most = REVIEW_GROUPS
-    return (
-        F.when(n.between(1, 5), few)
-        .when(n.between(6, 20), some)
-        .when(n.between(21, 50), many)
-        .when(n > 50, most)
-        .otherwise(zero)
-    )
+    zero, *between, most = REVIEW_GROUPS
+    label = F.when(n > REVIEW_BOUNDS[-1][1], most)
+    for group, (low, high) in zip(between, REVIEW_BOUNDS):
+        label = label.when(n.between(low, high), group)
+    return label.otherwise(zero)
 
 
 def review_group_rank(label: str) -> Column:

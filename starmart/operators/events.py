@@ -83,18 +83,30 @@ def daily_activity(activity: DataFrame) -> DataFrame:
     return roll_up(activity, "business_id", "date")
 
 
+SOURCE_COUNTERS = {"review": "review_rows", "checkin": "checkin_count", "tip": "tip_count"}
+
+
 def dated(activity: DataFrame) -> DataFrame:
-    """Rows usable in a business fact: known business, readable date."""
-    return activity.na.drop(subset=["business_id", "date"])
+    """Rows usable in a business fact: a readable date.
+
+    Events without a business form a group of their own, under a null business
+    id, in every fact by business.
+    """
+    return activity.na.drop(subset=["date"])
+
+
+def audit_counts(activity: DataFrame) -> list:
+    """Aggregates for the audit, by source: events, those without a readable date, those without a business."""
+    without = {"rows": F.lit(True), "bad_dates": F.col("date").isNull(),
+               "no_business": F.col("date").isNotNull() & F.col("business_id").isNull()}
+    return [F.coalesce(F.sum(F.when(condition, F.col(counter))), F.lit(0)).alias(f"{source}_{name}")
+            for source, counter in SOURCE_COUNTERS.items() for name, condition in without.items()]
 
 
 def rejected_dates(activity: DataFrame) -> DataFrame:
     """Number of events per source whose date could not be read."""
-    totals = activity.filter(F.col("date").isNull()).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(name)
-          for name, c in {"review": "review_rows", "checkin": "checkin_count", "tip": "tip_count"}.items()]
-    )
-    return totals.unpivot([], ["review", "checkin", "tip"], "source", "rejected")
+    totals = activity.agg(*audit_counts(activity)).select(*[F.col(f"{s}_bad_dates").alias(s) for s in SOURCE_COUNTERS])
+    return totals.unpivot([], list(SOURCE_COUNTERS), "source", "rejected")
 
 
 def activity_dates(activity: DataFrame) -> DataFrame:

@@ -50,7 +50,8 @@ def daily_fact(activity: DataFrame, dim_business: DataFrame, dim_date: DataFrame
     business and day.
     """
     businesses = dim_business.select(F.col("business_nk").alias("business_id"), "business_key")
-    dates = F.broadcast(dim_date.select(F.col("full_date").alias("date")))  # one row per calendar day at most
+    # Days are made unique, so one row per calendar day at most.
+    dates = F.broadcast(dim_date.select(F.col("full_date").alias("date")).distinct())
     keyed = (
         daily_rollup(activity)
         .join(dates, "date", "left_semi")
@@ -83,17 +84,21 @@ def operational_daily_fact(activity: DataFrame, missing_rating: float | None = N
 
 
 def engagement_rows(
-    review: DataFrame, dim_date: DataFrame, dim_user: DataFrame, dim_business: DataFrame
+    review: DataFrame, dim_date: DataFrame | None, dim_user: DataFrame, dim_business: DataFrame
 ) -> DataFrame:
-    """Reviews whose date, user and business are known; the fact without its counts."""
-    rows, heavy_user, heavy_business = _review_keys(review, dim_date)
-    rows = _known(rows, dim_user, "user_id", heavy_user)
-    return _known(rows, dim_business, "business_id", heavy_business)
+    """Reviews whose date, user and business are known; the fact without its counts.
+
+    Without a calendar every readable date is known, as it is to a calendar made from these reviews.
+    Plain semi-joins on dimensions that are no aggregates: adaptive execution splits any number of hot keys. The
+    user comes last, so that a later grouping by business has a shuffle of its own.
+    """
+    rows = _review_keys(review, dim_date)
+    return _known(_known(rows, dim_business, "business_id"), dim_user, "user_id")
 
 
 def engagement_fact(
     review: DataFrame, tip: DataFrame, checkin: DataFrame,
-    dim_date: DataFrame, dim_user: DataFrame, dim_business: DataFrame,
+    dim_date: DataFrame | None, dim_user: DataFrame, dim_business: DataFrame,
 ) -> DataFrame:
     """One row per review, with the tips of its user for its business and the business's check-ins.
 
@@ -101,8 +106,8 @@ def engagement_fact(
     every review of a business the business's check-in count, so neither may
     be summed over reviews.
     """
-    rows, heavy_user, heavy_business = _review_keys(review, dim_date)
-    rows = _known(rows, dim_user, "user_id", heavy_user)
+    heavy_user, heavy_business = heavy_keys(review, ["user_id"], ["business_id"])
+    rows = _known(_review_keys(review, dim_date), dim_user, "user_id")
     # One lookup answers both "is the business known" and "how many check-ins".
     businesses = dim_business.select("business_id").distinct().join(
         checkin_counts(checkin), "business_id", "left"
@@ -120,10 +125,7 @@ def engagement_fact(
     )
 
 
-def _review_keys(review: DataFrame, dim_date: DataFrame):
-    heavy_user, heavy_business = heavy_keys(review, ["user_id"], ["business_id"])
-    # One row per calendar day at most, and never a null one.
-    days = F.broadcast(dim_date.select(F.col("full_date").alias("day")).na.drop())
+def _review_keys(review: DataFrame, dim_date: DataFrame | None) -> DataFrame:
     rows = review.select(
         "review_id", "user_id", "business_id",
         parse_timestamp("date").cast("date").alias("date"),
@@ -132,11 +134,16 @@ def _review_keys(review: DataFrame, dim_date: DataFrame):
         F.col("funny").alias("funny_votes"),
         F.col("cool").alias("cool_votes"),
     )
+    if dim_date is None:
+        return rows.withColumn("date_id", date_key("date")).drop("date").filter("date_id is not null")
+    # One row per calendar day at most, and never a null one.
+    days = F.broadcast(dim_date.select(F.col("full_date").alias("day")).na.drop().distinct())
     # The null-safe match equals a plain one here, without the null check that
     # Spark would push below the projection, parsing every date a second time.
     rows = rows.join(days, F.col("date").eqNullSafe(F.col("day")), "left_semi")
-    return rows.withColumn("date_id", date_key("date")).drop("date"), heavy_user, heavy_business
+    return rows.withColumn("date_id", date_key("date")).drop("date")
 
 
-def _known(rows: DataFrame, dimension: DataFrame, key: str, heavy) -> DataFrame:
-    return lookup_join(rows, dimension.select(key).distinct(), [key], "left_semi", [(heavy, [key])])
+def _known(rows: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Rows whose key the dimension has; a semi-join repeats no row, however often the dimension lists the key."""
+    return rows.join(dimension.select(key), key, "left_semi").select(*rows.columns)

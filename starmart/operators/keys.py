@@ -54,3 +54,11 @@ def dense_key(rows: DataFrame, key: str, natural_key: list[str]) -> DataFrame:
 def duplicate_keys(table: DataFrame, key: list[str]) -> DataFrame:
     """Keys held by more than one row; empty for a sound dimension."""
     return table.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+
+
+def assert_unique(table: DataFrame, key: list[str], name: str) -> DataFrame:
+    """The table, if each key has one row; a lookup by a repeated key would repeat facts."""
+    repeated = duplicate_keys(table, key).count()
+    if repeated:
+        raise ValueError(f"{name}: {repeated} values of {', '.join(key)} have more than one row")
+    return table

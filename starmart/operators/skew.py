@@ -5,9 +5,10 @@ third of the rows would put a third of the work in one task. Adaptive
 execution cannot always split that task (it does not when the lookup is
 itself an aggregate), so heavy keys are salted here:
 
-* ``heavy_keys`` finds them with one pass over the key columns. Frequent-item
-  sketches of fixed size are merged in two levels, so no task sees more than a
-  few thousand of them, and at most ``TOP`` key hashes come out.
+* ``heavy_keys`` finds them with one pass over the key columns. A key is heavy
+  when it holds more rows than an even partition, so there are never more heavy
+  keys than partitions, and sketches sized by the partitions find them all.
+  The sketches are merged in two levels, so no task sees more than ``MERGE_GROUPS``.
 * ``lookup_join`` spreads the rows of heavy keys over all shuffle partitions
   and repeats only the heavy keys' lookup rows.
 
@@ -19,28 +20,35 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-TOP = 128
-TRACKED = 1024
+#: A frequent-item sketch overestimates by at most rows / this many per partition.
+TRACKED_PER_PARTITION = 8
 MERGE_GROUPS = 512
+MOST_TRACKED = 1_000_000  # the largest sketch Spark allows
+
+
+def partitions(frame: DataFrame) -> int:
+    return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def heavy_keys(rows: DataFrame, *key_sets: list[str]) -> list[Column]:
-    """For each key set, a scalar column holding the hashes of its most frequent keys."""
+    """For each key set, a scalar column holding the hashes of all keys with more rows than an even partition."""
     names = [f"k{i}" for i in range(len(key_sets))]
+    parts = partitions(rows)
+    tracked = min(MOST_TRACKED, max(1024, TRACKED_PER_PARTITION * parts))
     hashed = rows.select(
         F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("merge_group"),
         *[F.xxhash64(*keys).alias(name) for name, keys in zip(names, key_sets)],
     )
     merged = (
         hashed.groupBy("merge_group")
-        .agg(*[F.expr(f"approx_top_k_accumulate({n}, {TRACKED})").alias(n) for n in names])
+        .agg(F.count(F.lit(1)).alias("n"),
+             *[F.expr(f"approx_top_k_accumulate({n}, {tracked})").alias(n) for n in names])
         .groupBy(F.lit("all"))  # no row, rather than a failure, when there are no sketches to merge
-        .agg(*[F.expr(f"approx_top_k_combine({n}, {TRACKED})").alias(n) for n in names])
+        .agg(F.sum("n").alias("n"), *[F.expr(f"approx_top_k_combine({n}, {tracked})").alias(n) for n in names])
     )
+    found = "transform(filter(approx_top_k_estimate({0}, {1}), t -> t.count * {2} > n), t -> t.item)"
     heavy = merged.select(
-        F.struct(
-            *[F.expr(f"transform(approx_top_k_estimate({n}, {TOP}), t -> t.item)").alias(n) for n in names]
-        )
+        F.struct(*[F.expr(found.format(n, min(tracked, 2 * parts), parts)).alias(n) for n in names])
     ).scalar()
     return [heavy[name] for name in names]
 
@@ -60,7 +68,7 @@ def lookup_join(
     """
     if heavy is None:
         heavy = [(heavy_keys(rows, on)[0], on)]
-    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = partitions(rows)
 
     salted = F.lit(True)
     for hashes, keys in heavy:

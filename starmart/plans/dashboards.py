@@ -13,7 +13,6 @@ from starmart.functions.measures import engagement_score, mean, review_group, re
 from starmart.operators.skew import lookup_join
 
 TOP_K = 10
-SHARED_BUCKETS = 1 << 16
 
 # ---- operations dashboard ----
 
@@ -88,12 +87,17 @@ def users_by_review_bucket(dim_user: DataFrame) -> DataFrame:
 # ---- marketing dashboard ----
 
 
-def avg_stars_monthly(engagement: DataFrame, dim_date: DataFrame) -> DataFrame:
+def avg_stars_monthly(engagement: DataFrame, dim_date: DataFrame | None = None) -> DataFrame:
+    """Average stars per calendar month. Without a calendar the months are read off the day keys (yyyyMMdd)."""
     daily = engagement.groupBy("date_id").agg(F.sum("stars").alias("stars"), F.count("stars").alias("n"))
-    days = F.broadcast(dim_date.select("date_id", "full_date"))  # at most one row per calendar day
+    if dim_date is None:
+        day = F.col("date_id").cast("int")
+        dated = daily.withColumns({"year": F.floor(day / 10000).cast("int"), "month": (F.floor(day / 100) % 100).cast("int")})
+    else:
+        days = dim_date.select("date_id", F.year("full_date").alias("year"), F.month("full_date").alias("month")).distinct()
+        dated = daily.join(F.broadcast(days), "date_id")  # at most one row per calendar day
     return (
-        daily.join(days, "date_id")
-        .groupBy(F.year("full_date").alias("year"), F.month("full_date").alias("month"))
+        dated.groupBy("year", "month")
         .agg(mean(F.sum("stars"), F.sum("n")).alias("average_stars"))
         .orderBy("year", "month")
     )
@@ -121,35 +125,22 @@ def top_states(engagement: DataFrame, profile: DataFrame, k: int = TOP_K) -> Dat
 def top_categories(engagement: DataFrame, profile: DataFrame, k: int = TOP_K) -> DataFrame:
     """Categories with the most distinct reviews; ties by name.
 
-    Nearly every review id belongs to one business, so reviews are counted per
-    business and only the counts meet the categories. An id found under
-    several businesses could be counted twice that way. Ids are therefore
-    hashed into buckets, and the buckets holding such ids are expanded to
-    their categories and counted distinct instead.
+    Nearly every review id belongs to one business; its reviews are counted per business, and only the counts meet the
+    categories. The least and the greatest business of an id tell which ids belong to several; their pairs alone are
+    expanded to categories and counted distinct, so that part costs what the true share of such ids costs.
     """
     bridge = (
         profile.select("business_id", F.explode("categories").alias("category_name"))
         .filter("business_id is not null and category_name != ''").distinct()
     )
-    # One shuffle of these pairs serves all their uses below. The joins would
-    # add the null filters to some of the uses only; stated here, all are alike.
-    pairs = (
-        engagement.select("review_id", "business_id")
-        .filter("review_id is not null and business_id is not null")
-        .withColumn("bucket", F.xxhash64("review_id").bitwiseAND(F.lit(SHARED_BUCKETS - 1)))
-        .distinct()
-    )
-    businesses = pairs.groupBy("review_id", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    # At most SHARED_BUCKETS rows, and none when ids are unique.
-    shared_buckets = F.broadcast(businesses.filter("n > 1").select("bucket").distinct())
-
-    per_business = (
-        pairs.join(shared_buckets, "bucket", "left_anti")
-        .groupBy("business_id").agg(F.count(F.lit(1)).alias("n"))
-    )
+    pairs = engagement.select("review_id", "business_id").filter("review_id is not null and business_id is not null")
+    # Combined on the map side, so an id with many rows is never hot.
+    owners = pairs.groupBy("review_id").agg(F.min("business_id").alias("first"), F.max("business_id").alias("last"))
+    per_business = owners.filter("first = last").groupBy(F.col("first").alias("business_id")).agg(F.count(F.lit(1)).alias("n"))
     counted = per_business.join(bridge, "business_id").groupBy("category_name").agg(F.sum("n").alias("n"))
 
-    shared = pairs.join(shared_buckets, "bucket", "left_semi")
+    several = owners.filter("first < last").select("review_id")
+    shared = pairs.join(several, "review_id", "left_semi").distinct()
     expanded = (
         lookup_join(shared, bridge, ["business_id"], "inner")
         .groupBy("category_name").agg(F.count_distinct("review_id").alias("n"))

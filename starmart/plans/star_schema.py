@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import Future, ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from starmart.operators import bridges, dimensions as dims, events, facts
+from starmart.operators.keys import assert_unique
 from starmart.sinks.tables import write_table
 from starmart.sources.star_tables import read_table
 
 ACTIVITY = "activity/Daily_Activity"
+#: Facts that dashboards filter by business, laid out so that such a filter skips most files.
+CLUSTERED = {
+    "manager/Fact_Business_Performance": ["business_id", "month_id"],
+    "operations/Fact_Operational_Performance": ["business_id", "date_id"],
+    "marketing/FactCustomerEngagement": ["business_id", "date_id"],
+}
 
 
 def build_star_schema(
@@ -19,9 +27,16 @@ def build_star_schema(
     out: str,
     score_col: str | None = None,
     parallel: int = 8,
+    audit: dict[str, dict[str, int]] | None = None,
 ) -> dict[str, int]:
     """Write all tables below ``out`` and return their row counts.
 
+    The tables are written to a new folder beside ``out`` and take its place
+    only when all of them are complete, so a failed build leaves the old ones.
+    ``audit`` receives, per source, the number of events, of those dropped for
+    an unreadable date, and of those kept without a business; they are counted
+    while the events are read for the build itself.
+
     The events are read once into daily counters, and most tables come from
     those. Tables are built from stored tables rather than from recomputed
     plans, so a lost executor costs a task and not a lineage. Tables that do
@@ -31,19 +46,28 @@ def build_star_schema(
         sources[name] for name in ("business", "review", "checkin", "tip", "user")
     )
     written: dict[str, Future] = {}
+    run = f"{out.rstrip('/')}-{uuid.uuid4().hex[:12]}"
+    seen = Observation()
 
     def stored(name: str) -> DataFrame:
         """The table under ``name``, as soon as it is written."""
         written[name].result()
-        return read_table(spark, out, name)
+        return read_table(spark, run, name)
 
     def activity() -> DataFrame:
         written[ACTIVITY].result()
-        return spark.read.parquet(f"{out}/{ACTIVITY}")
+        return spark.read.parquet(f"{run}/{ACTIVITY}")
+
+    def daily() -> DataFrame:
+        rows = events.activity_rows(review, checkin, tip, score_col)
+        return events.daily_activity(rows.observe(seen, *events.audit_counts(rows)))
+
+    def keyed_business() -> DataFrame:
+        return assert_unique(stored("investor/Dim_Business"), ["business_nk"], "investor/Dim_Business")
 
     # In this order each table comes after those it is built from.
     tables = {
-        ACTIVITY: lambda: events.daily_activity(events.activity_rows(review, checkin, tip, score_col)),
+        ACTIVITY: daily,
         "marketing/DimDate": lambda: dims.dim_date(events.timestamp_dates(review, checkin, tip), "marketing"),
         "marketing/DimBusiness": lambda: dims.dim_business_profile(business),
         "marketing/DimUser": lambda: dims.dim_user(user),
@@ -59,10 +83,10 @@ def build_star_schema(
         "investor/Dim_Business": lambda: dims.dim_business_location(business, stored("investor/Dim_Location")),
         "investor/Dim_Date": lambda: dims.dim_date(events.review_checkin_dates(activity()), "investor"),
         "investor/Fact_Business_Performance": lambda: facts.daily_fact(
-            activity(), stored("investor/Dim_Business"), stored("investor/Dim_Date")
+            activity(), keyed_business(), stored("investor/Dim_Date")
         ),
         "investor/Fact_Business_Categories": lambda: bridges.category_bridge_keys(
-            business, stored("investor/Dim_Category"), stored("investor/Dim_Business")
+            business, stored("investor/Dim_Category"), keyed_business()
         ),
         "manager/Fact_Business_Performance": lambda: facts.monthly_fact(activity()),
         "manager/Fact_Business_Categories": lambda: bridges.category_bridge(
@@ -78,8 +102,27 @@ def build_star_schema(
     }
     with ThreadPoolExecutor(parallel) as pool:
         for name, table in tables.items():
-            written[name] = pool.submit(lambda n=name, make=table: write_table(make(), f"{out}/{n}"))
-    return {name: job.result() for name, job in written.items() if name != ACTIVITY}
+            written[name] = pool.submit(lambda n=name, make=table: write_table(
+                make(), f"{run}/{n}", cluster_by=CLUSTERED.get(n)))
+    counts = {name: job.result() for name, job in written.items() if name != ACTIVITY}
+    publish(spark, run, out)
+    if audit is not None:
+        for source in events.SOURCE_COUNTERS:
+            audit[source] = {n: seen.get[f"{source}_{n}"] for n in ("rows", "bad_dates", "no_business")}
+    return counts
+
+
+def publish(spark: SparkSession, run: str, out: str) -> None:
+    """Put the finished folder in the place of the old one, in whatever store the path belongs to."""
+    jvm = spark.sparkContext._jvm
+    old, new = jvm.org.apache.hadoop.fs.Path(out), jvm.org.apache.hadoop.fs.Path(run)
+    store = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    before = jvm.org.apache.hadoop.fs.Path(f"{run}-before")
+    if store.exists(old):
+        store.rename(old, before)
+    if not store.rename(new, old):
+        raise OSError(f"{run} could not be published as {out}")
+    store.delete(before, True)
 
 
 def row_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:

@@ -30,9 +30,16 @@ def build_session(app_name: str = "starmart", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one is made only where none is set."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Where none is set, a local session gets a temporary one. On several machines such a folder would be another one for
+    each executor, so there the setting is required.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starmart-"))
         configured = spark.sparkContext.getCheckpointDir()
     return configured.rstrip("/")

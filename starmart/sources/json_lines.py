@@ -1,48 +1,59 @@
 """Newline-delimited JSON sources.
 
+A line is a row when it holds one JSON object and nothing else. Every other line is rejected: text that is not JSON, an
+object cut off or followed by anything, and JSON values that are no objects (``42``, ``[1, 2]``, ``"s"``, ``null``),
+which have no fields to make a row of. Fields may repeat (the last counts) and numbers may be ``NaN``. Blank lines are
+neither kept nor rejected. The same test serves the scan and the audit.
+
 A missing path raises Spark's ``PATH_NOT_FOUND`` analysis error; nothing is
 caught here, so a build never continues with a source missing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from starmart.schemas import SOURCES
+from starmart.sinks.tables import write_table
 
-CORRUPT = "_corrupt_line"
+STRICT = {"allowSingleQuotes": "false"}
+END = "end of line"
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Rows of the file under a declared schema, without the lines that are not JSON.
+    """Rows of the file under a declared schema, without the rejected lines.
 
     A readable line whose field has the wrong type is kept with that field null.
     """
-    return _with_corrupt(spark, path, schema).filter(~_not_json(schema)).drop(CORRUPT)
+    return _rows(_lines(spark, path).filter(is_object("value")), schema)
 
 
-def json_reject_stats(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """One row: the number of lines kept and of lines that are not JSON."""
-    return _with_corrupt(spark, path, schema).select(_not_json(schema).alias("bad")).agg(
-        F.count_if(~F.col("bad")).alias("kept"), F.count_if("bad").alias("rejected")
+def json_reject_stats(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """One row: the number of lines kept and of lines rejected."""
+    return _lines(spark, path).select(is_object("value").alias("good")).agg(
+        F.count_if("good").alias("kept"), F.count_if(~F.col("good")).alias("rejected")
     )
 
 
-def _with_corrupt(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return (
-        spark.read.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())]))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
+def is_object(line: str) -> Column:
+    """Is the text one JSON object and nothing else?
+
+    Spark's parser stops after the first value. Inside an array, in front of an
+    end mark, anything that follows the value breaks the array or moves the mark.
+    """
+    inside = F.concat(F.lit("["), line, F.lit(f',"{END}"]'))
+    values = F.from_json(inside, "array<string>", STRICT)
+    return F.coalesce(
+        F.ltrim(line).startswith("{") & (F.size(values) == 2) & (F.get(values, 1) == END), F.lit(False))
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).filter("trim(value) != ''")
 
 
-def _not_json(schema: StructType) -> Column:
-    # Such a line yields no fields at all; naming one keeps a data column in
-    # every scan, without which Spark refuses to read the corrupt lines.
-    no_fields = F.col(schema.fieldNames()[0]).isNull()
-    return F.col(CORRUPT).isNotNull() & no_fields & F.try_parse_json(CORRUPT).isNull()
+def _rows(lines: DataFrame, schema: StructType) -> DataFrame:
+    return lines.select(F.from_json("value", schema, STRICT).alias("row")).select("row.*")
 
 
 def read_sources(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
@@ -50,13 +61,22 @@ def read_sources(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFr
     return {name: read_json_lines(spark, paths[name], schema) for name, schema in SOURCES.items()}
 
 
-def stage_sources(spark: SparkSession, paths: dict[str, str], out: str) -> dict[str, DataFrame]:
+def stage_sources(
+    spark: SparkSession, paths: dict[str, str], out: str, audit: dict[str, dict[str, int]] | None = None
+) -> dict[str, DataFrame]:
     """Parse each JSON source once into typed Parquet and return the stored tables.
 
     Everything downstream then reads columns instead of parsing text again.
+    ``audit`` receives the lines kept and rejected per source, counted during
+    the write.
     """
     staged = {}
-    for name, rows in read_sources(spark, paths).items():
-        rows.write.mode("overwrite").parquet(f"{out}/{name}")
+    for name, schema in SOURCES.items():
+        seen = Observation()
+        lines = _lines(spark, paths[name]).withColumn("good", is_object("value")).observe(
+            seen, F.count(F.lit(1)).alias("lines"), F.count_if("good").alias("kept"))
+        write_table(_rows(lines.filter("good").select("value"), schema), f"{out}/{name}")
+        if audit is not None:
+            audit[name] = {"kept": seen.get["kept"], "rejected": seen.get["lines"] - seen.get["kept"]}
         staged[name] = spark.read.parquet(f"{out}/{name}")
     return staged
