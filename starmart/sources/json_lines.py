@@ -25,6 +25,7 @@ def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataF
     """Rows of the file under a declared schema, without the rejected lines.
 
     A readable line whose field has the wrong type is kept with that field null.
+    An object in a text field is kept as compact JSON, as ``to_json`` writes it.
     """
     return _rows(_lines(spark, path).filter(is_object("value")), schema)
 
