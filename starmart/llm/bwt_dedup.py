@@ -247,14 +247,16 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
                        F.col(doc_id).alias("doc_id"))
     every = stored(rows.where(F.col("size") >= LENGTH).select("key", "size", "text").mapInArrow(find_anchors, ANCHORS), "anchors")
     twice = stored(every.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a"), "twice")
-    met = stored(every.join(twice, "a").groupBy("key", "size", "a", "c", "pos", "lo", "hi").agg(F.count("*").alias("n")), "met")
+    # Stored before grouping, so that adaptive execution can split the join's hot anchors.
+    met = stored(every.join(twice, "a"), "candidates")
+    met = stored(met.groupBy("key", "size", "a", "c", "pos", "lo", "hi").agg(F.count("*").alias("n")), "met")
 
     contexts = stored(met.groupBy("a", "c", "lo", "hi").agg(
         F.sum("n").alias("n"), F.min(F.struct("key", "size", "pos")).alias("at")), "contexts")
     several = stored(contexts.groupBy("a").agg(F.count("*").alias("d"), F.min("n").alias("least")).where("d > 1 and least = 1"), "several")
     wanted = (contexts.join(several, "a").select("a", "c", "lo", "hi", (F.col("d") > HOT).alias("hot"), "at.*")
               .groupBy("key", "size").agg(F.collect_list(F.struct("a", "c", "lo", "hi", "hot", "pos")).alias("wanted")))
-    keys = met.select("key", "size").distinct().withColumn("met", F.lit(True))
+    keys = stored(met.select("key", "size").distinct().withColumn("met", F.lit(True)), "keys")
     texts = stored(rows.join(keys, ["key", "size"], "left").select(
         "doc_id", "key", "size", F.when(F.col("met"), F.col("text")).alias("text"),
         F.when(F.col("met").isNull(), F.sha2(F.col("text"), 256)).alias("sha"))
