@@ -17,7 +17,7 @@ from starmart import schemas
 from starmart.functions import dates as D, measures
 from starmart.operators import bridges, dimensions as dims, events, facts, series
 from starmart.plans import dashboards as dash
-from starmart.plans.star_schema import build_star_schema, row_counts
+from starmart.plans.star_schema import build_star_schema, remove, row_counts
 from starmart.session import shared_dir
 from starmart.sinks.results import payload
 from starmart.sinks.tables import write_table
@@ -135,7 +135,9 @@ def json_reject_stats(spark, sf_dir):
 @query
 def table_row_counts(spark, sf_dir):
     """Build and store the whole star schema; one row per table with its row count."""
-    counts = build_star_schema(spark, samples.sources(spark, sf_dir), scratch(spark), score_col="score")
+    root = scratch(spark)
+    counts = build_star_schema(spark, samples.sources(spark, sf_dir), root, score_col="score")
+    remove(spark, root)
     return row_counts(spark, counts)
 
 

@@ -125,6 +125,12 @@ def publish(spark: SparkSession, run: str, out: str) -> None:
     store.delete(before, True)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of tables that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def row_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
     """The row-count audit as a frame; one row per table."""
     return spark.createDataFrame(sorted(counts.items()), "table_name string, row_count bigint")
