@@ -10,10 +10,11 @@ are cut into dyadic slabs and ranks into cells of unit area in each slab; a cell
 
 Sets with equal signatures in one of ``BANDS`` bands of ``ROWS`` coordinates are candidates. A pair of similarity 0.8
 shares no band with a chance of 5e-8. Equal sets are joined first, by a 128-bit digest, and stand for all their
-copies. Within a band's bucket every set is compared with the bucket's centre only. Buckets whose sets are then still
-in several components are taken up again: small ones compare all pairs of different components, large ones compare
-with other centres and with neighbours in a random order, turn by turn until a turn adds nothing. Pairs are decided
-by their exact similarity; a class is a connected component.
+copies. Within a band's bucket every set is compared with the bucket's centre only, the set that shares most buckets. Buckets
+whose sets are then still in several components are taken up again, at most ``TURNS - 1`` times: small ones compare
+all pairs of different components, which leaves no link out; large ones compare with a centre outside the first
+component, then with one drawn at random. A pair meets in a dozen of the 32 bands, each with centres of its own.
+Pairs are decided by their exact similarity; a class is a connected component.
 
 Work on a bucket is linear in its size, a hot centre's comparisons are split into chunks, and no group is collected.
 
@@ -29,7 +30,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
@@ -41,9 +42,8 @@ DARTS, BANDS, ROWS = 128, 32, 4
 WORDS = 5
 SIMILAR = 0.8
 SMALL = 16
-NEIGHBOURS = 4
 CHUNK = 64
-TURNS = 8
+TURNS = 3
 
 POISSON = np.cumsum([np.exp(-1.0) / np.prod(np.arange(1, n + 1, dtype=float)) for n in range(16)])
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -186,7 +186,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     keys = stored(full.groupBy("key").agg(F.any_value("bands").alias("bands")), "keys")
     members = keys.select("key", F.explode("bands").alias("band"))
     sizes = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    members = stored(members.join(sizes, "band"), "buckets")
+    members = stored(members.join(sizes, "band"), "members")
+    # The set that shares buckets with most others is the likeliest to be near all of them: the text others were made from.
+    central = members.groupBy("key").agg(F.sum("size").alias("reach"))
+    members = stored(members.join(central, "key"), "buckets")
     sets = stored(full.join(members.select("key").distinct(), "key", "left_semi").select("key", "shingles", "weights")
                   .groupBy("key").agg(F.any_value("shingles").alias("shingles"), F.any_value("weights").alias("weights")), "sets")
     links, label, tried = None, None, None
@@ -195,25 +198,28 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
             open_members = members.withColumn("label", F.col("key"))
         else:
             named = members.join(label, F.col("key") == F.col("node"), "left").select(
-                "band", "key", "size", F.coalesce("label", "key").alias("label"))
+                "band", "key", "size", "reach", F.coalesce("label", "key").alias("label"))
             split = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
             open_members = stored(named.join(split.select("band"), "band", "left_semi"), "open")
-        centre = open_members.groupBy("band").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("order"), F.col("key").alias("centre"),
-                                                             F.col("label").alias("of"))).alias("c"))
-        centre = stored(centre.select("band", "c.centre", "c.of"), "centres")
-        near = open_members.join(centre, "band").where("label != of").select(F.col("centre").alias("a"), F.col("key").alias("b"))
-        if turn:
+
+        def centres(order) -> DataFrame:
+            best = open_members.groupBy("band").agg(F.min(F.struct(
+                order.alias("order"), F.col("key").alias("centre"), F.col("label").alias("of"))).alias("c"))
+            return stored(best.select("band", "c.centre", "c.of"), "centres")
+
+        if turn == 1:  # the most central set outside the component of the first centre
+            first = centres(-F.col("reach")).select("band", F.col("of").alias("main"))
+            open_members = stored(open_members.join(first, "band"), "open")
+            centre = centres(F.struct((F.col("label") == F.col("main")).alias("own"), (-F.col("reach")).alias("reach")))
+        else:
+            centre = centres(F.xxhash64("key", F.lit(turn)) if turn else -F.col("reach"))
+        starred = open_members.where(F.col("size") > SMALL) if turn else open_members
+        near = starred.join(centre, "band").where("label != of").select(F.col("centre").alias("a"), F.col("key").alias("b"))
+        if turn == 1:
             other = open_members.where(F.col("size") <= SMALL)
-            small = (other.select("band", F.col("key").alias("a"), F.col("label").alias("la"))
-                     .join(other.select("band", F.col("key").alias("b"), F.col("label").alias("lb")), "band")
-                     .where("la != lb and a < b").select("a", "b"))
-            line = Window.partitionBy("band", "salt").orderBy(F.xxhash64("key", F.lit(turn)))
-            large = open_members.where(F.col("size") > SMALL).withColumn(
-                "salt", F.pmod(F.xxhash64("key", F.lit(turn), F.lit(1)), F.ceil(F.col("size") / 1024)))
-            beside = large.withColumn("around", F.array(*[
-                F.lag(F.struct("key", "label"), n).over(line) for n in range(1, NEIGHBOURS + 1)]))
-            beside = beside.select(F.col("key").alias("a"), "label", F.explode("around").alias("o"))
-            near = near.union(small).union(beside.where("o is not null and label != o.label").select("a", "o.key"))
+            near = near.union(other.select("band", F.col("key").alias("a"), F.col("label").alias("la"))
+                              .join(other.select("band", F.col("key").alias("b"), F.col("label").alias("lb")), "band")
+                              .where("la != lb and a < b").select("a", "b"))
         pairs = near.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "a", "b").groupBy("x", "y").agg(
             F.first("a").alias("a"), F.first("b").alias("b"))
         pairs = pairs.select("a", "b", "x", "y")
