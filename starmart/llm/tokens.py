@@ -11,15 +11,15 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
-ODD = re.compile(r"\s\s|\A\s|\s\Z")
 PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
 SAMPLES = ["hello", "Hello", "\u00e9lan", "gr\u00fc\u00dfe", "THE", "xqzjw", "end.", "Ende,***", "it!!"]
-PIECES_KEPT = 300_000
+PIECES_KEPT = 100_000
 LONGEST_KEPT = 64
 
 
@@ -33,85 +33,99 @@ def byte_letters() -> dict[int, str]:
 LETTERS = byte_letters()
 
 
-class Pieces(dict):
-    """Ids of pieces, each encoded when it is first asked for; ``before`` is a space or nothing."""
+class Recent(dict):
+    """A table in two generations: what was not asked for during a whole generation is forgotten."""
 
-    def __init__(self, tokenizer, before: str, code: str, lower: bool | None):
+    def __init__(self, make: Callable[[str], bytes], kept: int):
         super().__init__()
-        self.tokenizer, self.model, self.before, self.code, self.lower = tokenizer, tokenizer.model, before, code, lower
-        self.marks: dict[str, bytes] = {"": b""}
+        self.make, self.kept, self.old = make, kept, {}
 
-    def whole(self, piece: str) -> bytes:
-        return array(self.code, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        plain = PLAIN.fullmatch(piece) if self.lower is not None else None
-        if plain is None:
-            ids = self.whole(self.before + piece)
-        else:
-            word, mark = plain.groups()
-            word = word.lower() if self.lower else self.before + word
-            ids = array(self.code, [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(LETTERS))]).tobytes()
-            if mark not in self.marks:
-                self.marks[mark] = self.whole(mark)
-            ids += self.marks[mark]
-        if len(piece) <= LONGEST_KEPT:
-            self[piece] = ids
-        return ids
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key) or self.make(key)
+        if len(key) > LONGEST_KEPT:
+            return value
+        if len(self) >= self.kept:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 class Encoder:
-    """Encodes texts to little-endian unsigned ids of ``width`` bytes each; one per task."""
+    """Encodes texts to little-endian unsigned ids of ``width`` bytes each."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.dtype = np.dtype(f"<u{self.width}")
+        self.code, self.dtype = "H" if self.width == 2 else "I", np.dtype(f"<u{self.width}")
+        self.words = Recent(self.word, PIECES_KEPT)
+        self.marks = Recent(self.whole, 1000)
+        self.bare = Recent(lambda piece: self.piece("", piece), PIECES_KEPT // 4)
+        self.spaced = Recent(lambda piece: self.piece(" ", piece), PIECES_KEPT)
+        self.line = self.whole("\n")
         self.lower = None  # how a plain word reaches the model; None if neither way gives the samples' ids
         for lower in (False, True):
             self.lower = lower
-            self.reset()
-            if all(p[w] == p.whole(p.before + w) for p in (self.bare, self.spaced) for w in SAMPLES):
+            if all(self.piece(before, w) == self.whole(before + w) for before in ("", " ") for w in SAMPLES):
                 break
+            self.words.clear()
         else:
             self.lower = None
-        self.reset()
 
-    def reset(self) -> None:
-        code = "H" if self.width == 2 else "I"
-        self.bare = Pieces(self.tokenizer, "", code, self.lower)
-        self.spaced = Pieces(self.tokenizer, " ", code, self.lower)
-        self.line = self.bare.whole("\n")
+    def whole(self, text: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def word(self, word: str) -> bytes:
+        """A plain word, with the space before it if the model has one, by the model alone."""
+        if not word.isalpha() or not word.isascii():
+            word = word.encode().decode("latin-1").translate(LETTERS)
+        return array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def piece(self, before: str, piece: str) -> bytes:
+        plain = PLAIN.fullmatch(piece) if self.lower is not None else None
+        if plain is None:
+            return self.whole(before + piece)
+        word, mark = plain.groups()
+        ids = self.words[word.lower() if self.lower else before + word]
+        return ids + self.marks[mark] if mark else ids
 
     def line_ids(self, line: str) -> bytes:
         first, *rest = line.split(" ")
         return self.bare[first] + b"".join(map(self.spaced.__getitem__, rest))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.spaced) + len(self.bare) > PIECES_KEPT:
-            self.reset()
         encoded = []
         for text in texts:
             if not text:
                 encoded.append(b"")
-            elif ODD.search(text):
+                continue
+            words = text.split()
+            gaps = len(words) - 1
+            if len(text) - sum(map(len, words)) == gaps == text.count(" ") + text.count("\n"):  # no other white space
+                encoded.append(self.line.join(map(self.line_ids, text.split("\n"))))
+            else:
                 first, *rest = CUT.split(text)
                 encoded.append(self.bare[first] + b"".join(map(self.spaced.__getitem__, rest)))
-            else:
-                encoded.append(self.line.join(map(self.line_ids, text.split("\n"))))
         return encoded
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One per Python worker, so later tasks find the tables filled."""
+    return Encoder(path)
+
+
 def encode_batches(path: str, text: str, emit: Callable[[pa.Table, list[bytes], np.dtype], pa.Table],
                    rows: int = 200) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A ``mapInArrow`` function: ``emit`` gets a slice of rows and their ids, without an end id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        own = encoder(path)
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = pa.Table.from_batches([batch.slice(at, rows)])
-                yield from emit(part, encoder.encode(part.column(text).to_pylist()), encoder.dtype).to_batches()
+                yield from emit(part, own.encode(part.column(text).to_pylist()), own.dtype).to_batches()
     return run

@@ -26,7 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from starmart.llm.common import stored
-from starmart.llm.tokens import Encoder, encode_batches
+from starmart.llm.tokens import encode_batches, encoder
 
 MAGIC = b"SVB1"
 HEADER = np.dtype([("magic", "S4"), ("docs", "<u4"), ("ids", "<u8")])
@@ -80,8 +80,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, do
     """Encode every text, append ``end_id``, write ``path/segments`` and ``path/ranks``."""
     spark = docs.sparkSession
     inner = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    encoder = Encoder(tokenizer)
-    vocabulary, dtype = max(encoder.tokenizer.get_vocab_size(), end_id + 1), encoder.dtype
+    own = encoder(tokenizer)
+    vocabulary, dtype = max(own.tokenizer.get_vocab_size(), end_id + 1), own.dtype
     schema = StructType([inner.schema["doc_id"], StructField("ids", BinaryType())])
     arrow = to_arrow_schema(schema)
     end = np.array([end_id], dtype).tobytes()
