@@ -18,7 +18,7 @@ LOWER[65:91] += 32
 BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 BASE, INVERSE = 0x5851F42D4C957F2D, pow(0x5851F42D4C957F2D, -1, 1 << 64)
 NEXT = np.uint64(0xD6E8FEB86659FD93)
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 powers: dict[int, np.ndarray] = {}
 
 
