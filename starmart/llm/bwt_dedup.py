@@ -15,7 +15,9 @@ bytes sample the same position inside them, their anchor, however they lie in th
    before the anchor is repeated where an interval of rows with a common prefix of ``LENGTH - n`` holds two rows that
    also agree in the n bytes before. No suffix is sorted anew and no pair of rows is compared.
 4. An anchor with more than ``HOT`` distinct contexts, such as the edge of a very common passage, is not brought
-   together: its strings are counted one by one with partial counts, which gives the same answer.
+   together: its strings are counted with partial counts, which gives the same answer. They are taken in buckets of
+   ``STEP`` neighbours first: a bucket whose whole stretch is met twice is repeated, one whose common part is met once
+   is not, and only the strings of the few buckets in between are counted one by one.
 
 Rows of equal texts are told by a 64-bit hash and the length, and carry one verdict. Contexts are compared by two
 64-bit hashes made with different bases, strings in step 3 byte by byte.
@@ -40,6 +42,7 @@ from starmart.llm.words import BASE, BYTE, INVERSE, power, raw, slices
 LENGTH, SPAN, GRAM = 400, 192, 32
 SHARED = LENGTH - SPAN + 1
 HOT = 256
+STEP = 24
 BLOCK = 4096
 BASE2 = 0x2545F4914F6CDD1D
 INVERSE2 = pow(BASE2, -1, 1 << 64)
@@ -204,12 +207,27 @@ def merge_runs(batches):
         yield flush(held)
 
 
-def window_hashes(batches):
-    """One row per string of the contexts."""
+def bucket_hashes(batches):
+    """Buckets of the contexts' strings: hashes of what all strings of a bucket share, and of all that they cover."""
     for batch in batches:
         for a, c, lo, hi, context in zip(*(batch.column(k).to_pylist() for k in ("a", "c", "lo", "hi", "context"))):
             data = np.frombuffer(context, np.uint8)
-            start = np.arange(hi - lo + 1)
+            bucket = np.arange(lo // STEP, hi // STEP + 1)
+            low, high = np.maximum(bucket * STEP, lo), np.minimum(bucket * STEP + STEP - 1, hi)
+            one, two = Hashed(data, BASE, INVERSE), Hashed(data, BASE2, INVERSE2)
+            shared = one.of(hi - bucket * STEP, hi + LENGTH - (bucket + 1) * STEP + 1).view(np.int64)
+            whole = [h.of(hi - high, hi + LENGTH - low).view(np.int64) for h in (one, two)]
+            n = len(bucket)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (np.full(n, a), np.full(n, c), low, high, shared, *whole)], ["a", "c", "low", "high", "shared", "h1", "h2"])
+
+
+def window_hashes(batches):
+    """One row per string of the contexts between ``low`` and ``high``."""
+    for batch in batches:
+        for a, c, hi, context, low, high in zip(*(batch.column(k).to_pylist() for k in ("a", "c", "hi", "context", "low", "high"))):
+            data = np.frombuffer(context, np.uint8)
+            start = np.arange(hi - high, hi - low + 1)
             one, two = (Hashed(data, b, i).of(start, start + LENGTH).view(np.int64) for b, i in ((BASE, INVERSE), (BASE2, INVERSE2)))
             n = len(start)
             yield pa.RecordBatch.from_arrays(
@@ -248,34 +266,52 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     every = stored(rows.where(F.col("size") >= LENGTH).select("key", "size", "text").mapInArrow(find_anchors, ANCHORS), "anchors")
     twice = stored(every.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a"), "twice")
     # Stored before grouping, so that adaptive execution can split the join's hot anchors.
-    met = stored(every.join(twice, "a"), "candidates")
+    # No side of these joins has a bound on its size, so none may be broadcast.
+    met = stored(every.join(twice.hint("merge"), "a"), "candidates")
     met = stored(met.groupBy("key", "size", "a", "c", "pos", "lo", "hi").agg(F.count("*").alias("n")), "met")
 
     contexts = stored(met.groupBy("a", "c", "lo", "hi").agg(
         F.sum("n").alias("n"), F.min(F.struct("key", "size", "pos")).alias("at")), "contexts")
     several = stored(contexts.groupBy("a").agg(F.count("*").alias("d"), F.min("n").alias("least")).where("d > 1 and least = 1"), "several")
-    wanted = (contexts.join(several, "a").select("a", "c", "lo", "hi", (F.col("d") > HOT).alias("hot"), "at.*")
+    wanted = (contexts.join(several.hint("merge"), "a").select("a", "c", "lo", "hi", (F.col("d") > HOT).alias("hot"), "at.*")
               .groupBy("key", "size").agg(F.collect_list(F.struct("a", "c", "lo", "hi", "hot", "pos")).alias("wanted")))
     keys = stored(met.select("key", "size").distinct().withColumn("met", F.lit(True)), "keys")
-    texts = stored(rows.join(keys, ["key", "size"], "left").select(
+    texts = stored(rows.join(keys.hint("merge"), ["key", "size"], "left").select(
         "doc_id", "key", "size", F.when(F.col("met"), F.col("text")).alias("text"),
         F.when(F.col("met").isNull(), F.sha2(F.col("text"), 256)).alias("sha"))
         .withColumn("row", F.monotonically_increasing_id()), "texts")
     touched = texts.where("text is not null")
     one = touched.groupBy("key", "size").agg(F.min("row").alias("row"))
-    runs = stored(touched.join(one.join(wanted, ["key", "size"]).select("row", "wanted"), "row").select("text", "wanted")
+    runs = stored(touched.join(one.join(wanted.hint("merge"), ["key", "size"]).select("row", "wanted").hint("merge"), "row").select("text", "wanted")
                   .mapInArrow(cut_contexts, "a long, c long, lo long, hi long, hot boolean, context binary"), "runs")
     merged = (runs.where("not hot").select("a", "c", "lo", "hi", "context").repartition("a").sortWithinPartitions("a", "c")
               .mapInArrow(merge_runs, VERDICT))
-    strings = stored(runs.where("hot").select("a", "c", "lo", "hi", "context").mapInArrow(
-        window_hashes, "a long, c long, n long, h1 long, h2 long"), "strings")
-    again = stored(strings.groupBy("a", "n", "h1", "h2").agg(F.count("*").alias("t")).where("t > 1").drop("t"), "again")
-    counted = (strings.join(again, ["a", "n", "h1", "h2"]).groupBy("a", "c").agg(F.collect_set("n").alias("places"))
-               .mapInArrow(marks_of, VERDICT))
+    hot = runs.where("hot").select("a", "c", "lo", "hi", "context")
+    buckets = stored(hot.mapInArrow(bucket_hashes, "a long, c long, low long, high long, shared long, h1 long, h2 long"), "buckets")
+
+    def met_twice(frame: DataFrame, by: list[str]) -> DataFrame:
+        return stored(frame.groupBy(*by).agg(F.count("*").alias("t")).where("t > 1").drop("t"), "again")
+
+    whole = ["a", "low", "high", "h1", "h2"]
+    # One of the contexts that share a whole bucket stands for them; of the others each stands for itself.
+    classes = stored(buckets.groupBy(*whole, "shared").agg(F.count("*").alias("t"), F.min("c").alias("c")), "classes")
+    full = stored(buckets.select("a", "c", "low", "high", "h1", "h2").join(
+        classes.where("t > 1").select(*whole).hint("merge"), whole), "full")
+    stretch = ["a", "bucket", "shared"]
+    numbered = classes.withColumn("bucket", F.floor(F.col("low") / STEP))
+    between = stored(numbered.groupBy(*stretch).agg(F.count("*").alias("n"), F.min("t").alias("least")).where("n > 1 and least = 1")
+                     .select(*stretch), "between")
+    partly = numbered.join(between.hint("merge"), stretch).select("a", "c", "low", "high")
+    strings = stored(hot.join(stored(partly, "partly").hint("merge"), ["a", "c"]).select("a", "c", "hi", "context", "low", "high")
+                     .mapInArrow(window_hashes, "a long, c long, n long, h1 long, h2 long"), "strings")
+    each = ["a", "n", "h1", "h2"]
+    places = strings.join(met_twice(strings, each).hint("merge"), each).select("a", "c", F.array("n").alias("at")).unionByName(
+        full.select("a", "c", F.sequence("low", "high").alias("at")))
+    counted = (places.groupBy("a", "c").agg(F.flatten(F.collect_list("at")).alias("places")).mapInArrow(marks_of, VERDICT))
     marks = stored(merged.unionByName(counted), "marks")
-    verdict = stored(contexts.join(marks, ["a", "c"], "left").where("n > 1 or marks is not null").select(
+    verdict = stored(contexts.join(marks.hint("merge"), ["a", "c"], "left").where("n > 1 or marks is not null").select(
         "a", "c", F.when(F.col("n") == 1, F.col("marks")).alias("marks")), "verdict")
-    per_text = stored(met.join(verdict, ["a", "c"]).groupBy("key", "size").agg(
+    per_text = stored(met.join(verdict.hint("merge"), ["a", "c"]).groupBy("key", "size").agg(
         F.collect_list(F.struct("pos", "lo", "hi", "marks")).alias("anchors")), "spans")
 
     schema = StructType([rows.schema["doc_id"], *[StructField(n, LongType()) for n in ("n_bytes", "n_removed", "n_spans")],
@@ -294,7 +330,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
             columns = [pa.array([r[k] for r in out], f.type) for k, f in zip(range(5), list(arrow)[1:])]
             yield from pa.Table.from_arrays([batch.column(0), *columns], names=schema.names).cast(arrow).to_batches()
 
-    changed = touched.join(per_text, ["key", "size"], "left").select("doc_id", "text", "anchors").mapInArrow(cut, schema)
+    changed = touched.join(per_text.hint("merge"), ["key", "size"], "left").select("doc_id", "text", "anchors").mapInArrow(cut, schema)
     zero = F.lit(0).cast("long")
     same = texts.where("text is null").select("doc_id", F.col("size").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"),
                                               F.col("sha").alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"))
