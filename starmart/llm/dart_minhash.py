@@ -10,13 +10,19 @@ are cut into dyadic slabs and ranks into cells of unit area in each slab; a cell
 
 Sets with equal signatures in one of ``BANDS`` bands of ``ROWS`` coordinates are candidates. A pair of similarity 0.8
 shares no band with a chance of 5e-8. Equal sets are joined first, by a 128-bit digest, and stand for all their
-copies. Within a band's bucket every set is compared with the bucket's centre only, the set that shares most buckets. Buckets
-whose sets are then still in several components are taken up again, at most ``TURNS - 1`` times: small ones compare
-all pairs of different components, which leaves no link out; large ones compare with a centre outside the first
-component, then with one drawn at random. A pair meets in a dozen of the 32 bands, each with centres of its own.
-Pairs are decided by their exact similarity; a class is a connected component.
+copies. First every set is compared with the centre of each of its buckets only, the set that shares most buckets. Buckets
+whose sets are then still in several components are taken up again: small ones compare all pairs of different
+components, large ones compare with a centre outside the first component. The sets of large buckets that are still in
+several components after that are joined exactly, so every pair that shares a bucket is either in one component or
+compared. Pairs are decided by their exact similarity; a class is a connected component.
 
-Work on a bucket is linear in its size, a hot centre's comparisons are split into chunks, and no group is collected.
+The exact join orders each set's shingles from rare to common. The first shingle that two similar sets share lies among
+the first ``(1 - t) n + 1`` of the larger set and the first ``(1 - t) / (1 + t) n + 1`` of the smaller, so only sets that
+agree there, at places that leave enough shingles to share, are compared. Texts of one template differ in their rare
+shingles and do not meet unless they are close to the limit. Any order common to all sets is exact; counts in ``CELLS``
+cells are close enough. A hot shingle's sets are dealt in blocks of ``BLOCK``.
+
+A hot centre's comparisons are split into chunks, and no group is collected.
 
 Defined results: null, empty and wordless texts are nobody's duplicates, each a class of its own; shorter texts than
 five words are one shingle of all their words; a class is named by its least document id (nulls last); documents with
@@ -43,7 +49,8 @@ WORDS = 5
 SIMILAR = 0.8
 SMALL = 16
 CHUNK = 64
-TURNS = 3
+CELLS = 1 << 18
+BLOCK = 256
 
 POISSON = np.cumsum([np.exp(-1.0) / np.prod(np.arange(1, n + 1, dtype=float)) for n in range(16)])
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -178,6 +185,87 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     return rows.mapInArrow(run, "a binary, b binary")
 
 
+def tokens(shingles: bytes, weights: bytes) -> np.ndarray:
+    """A sorted set as 64-bit tokens, a repeated shingle once per repeat: sets share as many as their minima add up to."""
+    x = np.frombuffer(shingles, "<u4").astype(np.uint64)
+    if weights:
+        x = np.repeat(x, np.frombuffer(weights, "<u4"))
+    repeat = np.arange(len(x)) - np.searchsorted(x, x)
+    return mix64(x | repeat.astype(np.uint64) << np.uint64(32))
+
+
+def cells(made: np.ndarray) -> np.ndarray:
+    return (made >> np.uint64(32)).astype(np.int64) % CELLS
+
+
+def close_pairs(sets: DataFrame, similar: float) -> DataFrame:
+    """a, b: pairs of different labels that may be similar, among them all that are. ``sets`` has key, label, shingles, weights."""
+    def count(batches):
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for s, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                np.add.at(total, cells(tokens(s, w)), 1)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], ["cell", "n"])
+
+    often = np.zeros(CELLS, np.int64)
+    counted = sets.select("shingles", "weights").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    often[counted["cell"]] = counted["n"]  # no more rows than cells
+
+    def prefixes(batches):
+        def rows(batch, taken, held):
+            which = pa.array(np.repeat(taken, [len(h[0]) for h in held]))
+            token, place, size, leads = (np.concatenate(x) for x in zip(*held))
+            return pa.RecordBatch.from_arrays([
+                pa.array(token.view(np.int64)), batch.column(0).take(which), batch.column(1).take(which),
+                pa.array(size), pa.array(place), pa.array(leads)], ["token", "key", "label", "size", "place", "leads"])
+
+        for batch in batches:
+            taken, held, n_held = [], [], 0
+            for i, (s, w) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                made = tokens(s, w)
+                n = len(made)
+                # As the larger set of a pair, and as the smaller one.
+                long = n - int(np.ceil(similar * n - 1e-6)) + 1
+                short = n - int(np.ceil(2 * similar / (1 + similar) * n - 1e-6)) + 1
+                made = made[np.lexsort((made, often[cells(made)]))[:long]]
+                place = np.arange(len(made))
+                taken.append(i)
+                held.append((made, place, np.full(len(made), n), place < short))
+                n_held += len(made)
+                if n_held >= 1 << 16:
+                    yield rows(batch, taken, held)
+                    taken, held, n_held = [], [], 0
+            if held:
+                yield rows(batch, taken, held)
+
+    found = stored(sets.select("key", "label", "shingles", "weights").mapInArrow(
+        prefixes, "token long, key binary, label binary, size long, place long, leads boolean"), "prefixes")
+    shared = found.groupBy("token").agg(
+        F.count("*").alias("n"), F.count_if("leads").alias("n_short"), F.min("label").alias("low"), F.max("label").alias("high"))
+    shared = shared.where("n_short > 0 and low < high").select(
+        "token", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("n_short") / BLOCK).cast("int").alias("short_blocks"))
+    lists = stored(found.join(shared, "token"), "lists")
+
+    def dealt(rows: DataFrame, name: str, own: str, other: str) -> DataFrame:
+        """Rows of a token in blocks of their own, one copy for each block of the other side."""
+        mine, theirs = F.pmod(F.xxhash64("key"), F.col(own)).cast("int"), F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        long, short = (mine, theirs) if own == "blocks" else (theirs, mine)
+        return rows.select("token", long.alias("i"), short.alias("j"), *[F.col(c).alias(f"{name}_{c}") for c in ("key", "label", "size", "place")])
+
+    longer = dealt(lists, "a", "blocks", "short_blocks")
+    shorter = dealt(lists.where("leads"), "b", "short_blocks", "blocks")
+    share = similar / (1 + similar)
+    return longer.join(shorter, ["token", "i", "j"]).where(
+        (F.col("a_label") != F.col("b_label"))
+        & ((F.col("a_size") > F.col("b_size")) | ((F.col("a_size") == F.col("b_size")) & (F.col("a_key") > F.col("b_key"))))
+        & (F.col("b_size") >= similar * F.col("a_size") - 1e-6)
+        # What follows this shingle in both sets, if it is the first they share, must be enough.
+        & (F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
+           >= share * (F.col("a_size") + F.col("b_size")) - 1e-6)
+    ).select(F.col("a_key").alias("a"), F.col("b_key").alias("b"))
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR, size: int = WORDS,
             by_count: bool = False) -> DataFrame:
     """doc_id, class_id, copies of the class, and a flag on the one document of each class to keep."""
@@ -193,7 +281,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     sets = stored(full.join(members.select("key").distinct(), "key", "left_semi").select("key", "shingles", "weights")
                   .groupBy("key").agg(F.any_value("shingles").alias("shingles"), F.any_value("weights").alias("weights")), "sets")
     links, label, tried = None, None, None
-    for turn in range(TURNS):
+    for turn in ("centres", "open", "exact"):
         if label is None:
             open_members = members.withColumn("label", F.col("key"))
         else:
@@ -207,15 +295,22 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
                 order.alias("order"), F.col("key").alias("centre"), F.col("label").alias("of"))).alias("c"))
             return stored(best.select("band", "c.centre", "c.of"), "centres")
 
-        if turn == 1:  # the most central set outside the component of the first centre
+        def starred(rows: DataFrame, centre: DataFrame) -> DataFrame:
+            return rows.join(centre, "band").where("label != of").select(F.col("centre").alias("a"), F.col("key").alias("b"))
+
+        if turn == "centres":
+            near = starred(open_members, centres(-F.col("reach")))
+        elif turn == "exact":
+            large = open_members.where(F.col("size") > SMALL).select("key", "label").distinct()
+            large = stored(large.join(sets, "key"), "large")
+            if large.isEmpty():
+                break
+            near = close_pairs(large, similar)
+        else:  # the most central set outside the component of the first centre
             first = centres(-F.col("reach")).select("band", F.col("of").alias("main"))
             open_members = stored(open_members.join(first, "band"), "open")
             centre = centres(F.struct((F.col("label") == F.col("main")).alias("own"), (-F.col("reach")).alias("reach")))
-        else:
-            centre = centres(F.xxhash64("key", F.lit(turn)) if turn else -F.col("reach"))
-        starred = open_members.where(F.col("size") > SMALL) if turn else open_members
-        near = starred.join(centre, "band").where("label != of").select(F.col("centre").alias("a"), F.col("key").alias("b"))
-        if turn == 1:
+            near = starred(open_members.where(F.col("size") > SMALL), centre)
             other = open_members.where(F.col("size") <= SMALL)
             near = near.union(other.select("band", F.col("key").alias("a"), F.col("label").alias("la"))
                               .join(other.select("band", F.col("key").alias("b"), F.col("label").alias("lb")), "band")
@@ -232,8 +327,6 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
         links = new if links is None else links.union(new)
         if grew:
             label = components(links)
-        elif turn:
-            break
     if label is None:
         label = links.select(F.col("a").alias("node"), F.col("b").alias("label"))
     spread = sketches.select("doc_id", "row", "key").join(label, F.col("key") == F.col("node"), "left")

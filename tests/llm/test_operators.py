@@ -88,6 +88,42 @@ def test_many_near_copies_of_one_text_become_one_class(make):
     assert {r.class_id for r in result} == {0}
 
 
+def test_pairs_inside_a_large_template_family(make):
+    """Texts of one template just below the limit; every second one has a partner above it that is no centre."""
+    template, rows = prose(11, 180).split(), []
+    for i in range(200):
+        w = list(template)
+        w[20:36] = prose(1000 + i, 16).split()
+        rows.append((2 * i, " ".join(w), "s"))
+        if i % 2:
+            w[100:103] = prose(3000 + i, 3).split()
+            rows.append((2 * i + 1, " ".join(w), "s"))
+    rows += [(1000 + i, prose(5000 + i, 60), "s") for i in range(20)]
+    expected = brute_classes(rows)
+    assert sum(size == 2 for _, _, size in expected.elements()) == 200
+    result = dart_minhash.classes(make(rows)).collect()
+    assert Counter((r.doc_id, r.class_id, r.class_size) for r in result) == expected
+
+
+@pytest.mark.parametrize("block", [256, 7])
+def test_close_pairs_are_all_similar_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(dart_minhash, "BLOCK", block)
+    rng = np.random.default_rng(8)
+    base, rows = np.sort(rng.choice(1 << 32, 60, replace=False)), []
+    for i in range(120):
+        keep = base[rng.random(60) < 0.95]
+        new = np.sort(np.append(keep, rng.choice(1 << 32, int(rng.integers(0, 9)))))
+        weights = b"" if i < 60 else np.where(rng.random(len(new)) < 0.03, 2, 1).astype("<u4").tobytes()
+        rows.append((b"%03d" % i, b"%03d" % (i % 100), new.astype("<u4").tobytes(), weights))
+    frame = spark.createDataFrame(rows, "key binary, label binary, shingles binary, weights binary")
+    for part in (rows[:60], rows[60:]):
+        expected = {(a[0], b[0]) for a in part for b in part if a[0] < b[0] and a[1] != b[1]
+                    and dart_minhash.jaccard(a[2], b[2], a[3], b[3]) >= 0.8}
+        some = frame.where(F.col("key").isin([r[0] for r in part]))
+        found = {tuple(sorted((bytes(r.a), bytes(r.b)))) for r in dart_minhash.close_pairs(some, 0.8).collect()}
+        assert len(expected) > 20 and expected <= found
+
+
 def test_near_duplicates_of_nothing(make):
     assert dart_minhash.classes(make([])).count() == 0
     assert dart_minhash.classes(make([(1, None, "a"), (2, "", "a")])).where("keep").count() == 2
