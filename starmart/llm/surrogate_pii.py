@@ -8,6 +8,11 @@ check digits of cards and IBANs hold where they held, octets stay octets, a give
 script. All distinct values of the corpus are checked: where two values drew the same surrogate, or a surrogate is
 itself a value of the corpus, one draws again, until no two agree.
 
+So that this ends where a format has fewer places than values, every fourth attempt of a value draws from a larger space:
+names get longer, and local parts, first labels of domains, telephone, card and social security numbers, IBANs and
+secrets get one more letter or digit each time (check digits still hold). IP addresses first let octets change their
+digit count; were all addresses of four octets used up, they would get more octets.
+
 Only documents with a digit, an ``@`` or a form of address are looked at closely. The table of surrogates is joined to the
 values found and then, by a digest of the text, to these documents; it is never held whole anywhere.
 
@@ -140,47 +145,50 @@ def iban_check(country: str, rest: str) -> str:
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     draw = Draw(key, kind, value, attempt)
+    more = attempt // 4  # after some clashes the format gives way
     if kind == "domain":
         *labels, top = value.split(".")
-        return ".".join([*map(draw.like, labels), top])
+        first, *others = map(draw.like, labels)
+        return ".".join([first + draw.like("a" * more), *others, top])
     if kind == "secret":
         if value.startswith("AKIA"):
-            return "AKIA" + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[draw.below(32)] for _ in value[4:])
-        return "".join("0123456789abcdef"[draw.below(16)] for _ in value)
+            return "AKIA" + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[draw.below(32)] for _ in range(len(value) - 4 + more))
+        return "".join("0123456789abcdef"[draw.below(16)] for _ in range(len(value) + more))
     if kind == "card":
         old = re.sub(r"\D", "", value)
-        new = old[0] + draw.like(old[1:])
+        new = old[0] + draw.like(old[1:] + "0" * more)
         if luhn(old) == 0:
             new = new[:-1] + next(d for d in "0123456789" if luhn(new[:-1] + d) == 0)
-        return refill(value, new)
+        return refill(value, new[:len(old)]) + new[len(old):]
     if kind == "iban":
         plain = value.replace(" ", "")
-        rest = draw.like(plain[4:])
+        rest = draw.like(plain[4:] + "0" * more)
         new = iter(plain[:2] + iban_check(plain[:2], rest) + rest)
-        return "".join(c if c == " " else next(new) for c in value)
+        return "".join(c if c == " " else next(new) for c in value) + "".join(new)
     if kind == "ip":
         ranges = {1: (1, 9), 2: (10, 99), 3: (100, 255)}
-        bounds = [ranges[len(octet)] for octet in value.split(".")]
+        bounds = [(0, 255) if more else ranges[len(octet)] for octet in value.split(".")]
+        bounds += [(0, 255)] * max(0, more - 8)
         return ".".join(str(low + draw.below(high - low + 1)) for low, high in bounds)
     if kind == "phone":
         country = re.match(r"\+\d{1,3}(?=[ .(-])|", value).group()
         rest = value[len(country):]
         return country + "".join("23456789"[draw.below(8)] if c.isdigit() and not rest[:i].strip(" .(-") else draw.like(c)
-                                 for i, c in enumerate(rest))
+                                 for i, c in enumerate(rest)) + draw.like("0" * more)
     if kind.startswith("given"):
         gender = kind[-1] if kind[-1] in "mf" else "f" if value.lower()[-1] in "aаяαη" else "m"
         names = GIVEN[script(value), gender]
         name = names[draw.below(len(names))]
-        for _ in range(attempt // 4):  # after some clashes names are doubled
+        for _ in range(more):  # names are doubled
             name += "-" + names[draw.below(len(names))]
         return name.upper() if len(value) > 1 and value.isupper() else name
     if kind == "family":
         parts = SYLLABLES[script(value)]
-        name = "".join(parts[draw.below(len(parts))] for _ in range(3 + attempt // 4)).capitalize()
+        name = "".join(parts[draw.below(len(parts))] for _ in range(3 + more)).capitalize()
         if script(value) == "cyrillic":  # family names show the gender by their ending
             name += "ва" if value.lower().endswith(("а", "я")) else "в"
         return name.upper() if len(value) > 1 and value.isupper() else name
-    return draw.like(value)
+    return draw.like(value) + draw.like(("0" if kind == "ssn" else "a") * more)
 
 
 def surrogates(values: DataFrame, key: bytes) -> DataFrame:

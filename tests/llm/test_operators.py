@@ -429,6 +429,29 @@ def test_surrogates_stay_distinct(spark):
     assert not {(r.kind, r.surrogate) for r in result} & {(r.kind, r.value) for r in result}
 
 
+def test_surrogates_of_used_up_formats(make):
+    rows = [(i, f"mail {c}@example.com or {i % 10}@{c}.com", "s") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    result = surrogate_pii.replace(make(rows), KEY).collect()
+    local = {r.doc_id: r.text.split()[1].split("@")[0] for r in result}
+    domain = {r.doc_id: r.text.split()[3].split("@")[1] for r in result}
+    assert len(set(local.values())) == len(set(domain.values())) == 26
+    assert not {t for _, text, _ in rows for w in text.split() if "@" in w for t in w.split("@")} & {*local.values(), *domain.values()}
+
+
+@pytest.mark.parametrize("kind, value", [
+    ("local", "a"), ("local", "_"), ("domain", "a.com"), ("ip", "1.2.3.4"), ("phone", "+1 23 45"), ("card", "4111 1111 1111 1"),
+    ("ssn", "123-45-6789"), ("secret", "AKIA" + "A" * 16), ("secret", "0" * 32), ("iban", "DE89370400440532013000"), ("family", "Li")])
+def test_later_attempts_draw_from_a_larger_space(kind, value):
+    early, late = (max(len(surrogate_pii.surrogate(KEY, kind, value, n)) for n in some) for some in (range(4), range(40, 44)))
+    assert late > early
+    for n in (0, 5, 41):
+        drawn = surrogate_pii.surrogate(KEY, kind, value, n)
+        if kind == "card":
+            assert (surrogate_pii.luhn(value.replace(" ", "")) == 0) <= (surrogate_pii.luhn(drawn.replace(" ", "")) == 0)
+        if kind == "iban":
+            assert int("".join(str(int(c, 36)) for c in drawn[4:] + drawn[:4])) % 97 == 1
+
+
 # --- registered queries
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
