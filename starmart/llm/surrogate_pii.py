@@ -67,8 +67,8 @@ PATTERN = re.compile("|".join([
     r"(?P<intl>(?<![\w.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w))",
     rf"(?P<name>(?<!\w)(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\.?[ ](?P<full>{NAME}(?:[ ]{NAME}){{0,2}}))",
 ]))
-#: What a document must hold to be looked at closely; the same for Java and Python.
-TRIGGER = "[0-9@]|" + "|".join(TITLES)
+#: What a document must hold to be looked at closely, for Java; its digits are those of Python's ``\d`` in PATTERN.
+TRIGGER = r"[\p{Nd}@]|" + "|".join(TITLES)
 
 
 def script(text: str) -> str:

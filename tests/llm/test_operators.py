@@ -452,6 +452,12 @@ def test_later_attempts_draw_from_a_larger_space(kind, value):
             assert int("".join(str(int(c, 36)) for c in drawn[4:] + drawn[:4])) % 97 == 1
 
 
+def test_surrogates_of_digits_beyond_ascii(make):
+    number = "٠٣٠-١٢٣٤-٥٦٧٨"
+    one, = surrogate_pii.replace(make([(1, f"call {number} now", "s")]), KEY, count="n_replaced").collect()
+    assert one.n_replaced == 1 and number not in one.text
+
+
 # --- registered queries
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
