@@ -1,4 +1,6 @@
-"""Removal of repeated byte strings by merging Burrows-Wheeler transforms of shards.
+"""Removal of repeated byte strings by anchors, radix refinement of their contexts, and counts of hashes.
+
+This stands in for merging Burrows-Wheeler transforms of shards: no shard builds a transform.
 
 A byte goes if a string of ``LENGTH`` bytes that covers it also starts anywhere else in the corpus. Sorting all suffixes
 of a corpus is out of the question, and needless: of each text only sampled suffixes take part. Every stretch of
@@ -8,12 +10,12 @@ bytes sample the same position inside them, their anchor, however they lie in th
 1. Anchors are counted by a hash of the bytes that every string of the anchor shares. An anchor met once has no
    repeated strings, and with it goes most of the corpus.
 2. An anchor's context is all strings it stands for. Contexts met twice as a whole are repeated; each distinct context
-   is a sampled suffix (from the anchor on) with what precedes it, the transform's column.
-3. Distinct contexts of one anchor meet in a task, as runs from many shards. Runs are merged by refining their
-   interleave: eight bytes a turn, rows that still agree are parted by the next eight, and where neighbours part is
-   their common prefix. The column is refined the same way, from the anchor backwards. A string that starts n bytes
+   is a sampled suffix (from the anchor on) with what precedes it, as a transform's column would give it.
+3. Distinct contexts of one anchor meet in a task, unsorted, and are sorted by a radix sort from the first byte on:
+   eight bytes a turn, rows that still agree are parted by the next eight, and where neighbours part is their common
+   prefix. What precedes the anchor is sorted the same way, from the anchor backwards. A string that starts n bytes
    before the anchor is repeated where an interval of rows with a common prefix of ``LENGTH - n`` holds two rows that
-   also agree in the n bytes before. No suffix is sorted anew and no pair of rows is compared.
+   also agree in the n bytes before. No pair of rows is compared.
 4. An anchor with more than ``HOT`` distinct contexts, such as the edge of a very common passage, is not brought
    together: its strings are counted with partial counts, which gives the same answer. They are taken in buckets of
    ``STEP`` neighbours first: a bucket whose whole stretch is met twice is repeated, one whose common part is met once
@@ -92,8 +94,8 @@ def anchors(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
 def refine(words: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of rows by group and then by their words, and the bytes each row shares with the one before (-1: other group).
 
-    The interleave starts with the rows of a group as their runs brought them and is refined a word at a time; only
-    rows that still have a neighbour like them take part.
+    The rows of a group come in any order and are sorted a word at a time; only rows that still have a neighbour like
+    them take part.
     """
     order = np.argsort(groups, kind="stable")
     n = len(order)
