@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart.llm import (
-    bin_slack_packing, bwt_dedup, dart_minhash, importance_resampling, kdtree_topk, oph_fingerprint, pivotal_mixing,
-    splitter_sharding, surrogate_pii, varbyte_tokens,
+    bin_slack_packing, bwt_dedup, conversation_repair, conversation_sql, dart_minhash, importance_resampling, kdtree_topk,
+    oph_fingerprint, pivotal_mixing, prefix_trie, splitter_sharding, surrogate_pii, text_rules, varbyte_tokens,
 )
 from starmart.llm.common import scratch_path, table
 
@@ -104,3 +104,30 @@ SURROGATE_KEY = b"a key for the registered query only"
 def op10_surrogate_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return surrogate_pii.replace(docs, SURROGATE_KEY, count="n_replaced")
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLE_SQL["op11_prefix_trie"] = conversation_sql.PREFIX_TRIE
+
+
+@query
+def op12_text_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures of every text, and the verdict of the threshold table."""
+    judged = text_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", *RULE_COLUMNS, "base_failed", "kept")
+
+
+RULE_COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+ORACLE_SQL["op12_text_rules"] = text_rules.judged_sql("doc_id, " + ", ".join(RULE_COLUMNS))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+ORACLE_SQL["op13_conversation_repair"] = conversation_sql.REPAIR
