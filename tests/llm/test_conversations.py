@@ -270,16 +270,3 @@ def test_repair_of_an_empty_table_and_of_dropped_rows(spark):
     empty = hashlib.sha256(b"").hexdigest()
     assert [tuple(r) for r in conversation_repair.repair(spark.createDataFrame([(gone, 0, "user", "x.")], SCHEMA)).collect()] == [
         (gone, 0, 0, 0, 0, 0, 0, "", empty)]
-
-
-@pytest.mark.parametrize("name", ["op11_prefix_trie", "op12_text_rules", "op13_conversation_repair"])
-def test_queries_match_sql(spark, sf_dir, name):
-    from starmart.llm.queries import ORACLE_SQL, QUERIES
-
-    db = duckdb.connect()
-    for t in ("documents", "conversations"):
-        db.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
-    expected = db.execute(ORACLE_SQL[name])
-    result = QUERIES[name](spark, sf_dir)
-    assert result.columns == [d[0] for d in expected.description]
-    assert Counter(tuple(r) for r in result.collect()) == Counter(expected.fetchall())

@@ -465,7 +465,7 @@ def test_queries_with_sql(spark, sf_dir, name):
     import duckdb
 
     connection = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         connection.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     expected = connection.execute(ORACLE_SQL[name])
     columns = [c[0] for c in expected.description]
