@@ -12,6 +12,13 @@ from starmart.schemas import COMPLIMENTS
 
 TIME = "'%Y-%m-%d %H:%M:%S'"
 
+
+def average(value: str) -> str:
+    """Exact sum of a double column over its count, at six digits; ties are rounded as decimals."""
+    mean = f"cast(sum(cast({value} as decimal(38, 12))) as double) / count({value})"
+    return f"cast(round(cast({mean} as decimal(38, 15)), 6) as double)"
+
+
 CTES = {
     # ---- the five sources ----
     "business": """
@@ -162,15 +169,15 @@ CTES = {
         select business_id, cast(sum(len(regexp_split_to_array(date, ',\\s*'))) as bigint) as checkin_count
         from checkin group by business_id""",
     # ---- dashboards ----
-    "q_manager_kpis": """
+    "q_manager_kpis": f"""
         select count(distinct business_id) as num_businesses, cast(sum(daily_reviews) as bigint) as total_reviews,
-               round(avg(avg_daily_rating), 6) as avg_rating, cast(sum(daily_checkins) as bigint) as total_checkins,
-               round(avg(sentiment_score_avg), 6) as avg_sentiment
+               {average('avg_daily_rating')} as avg_rating, cast(sum(daily_checkins) as bigint) as total_checkins,
+               {average('sentiment_score_avg')} as avg_sentiment
         from operations""",
-    "q_weekly": """
+    "q_weekly": f"""
         select cast(date_trunc('week', date) as date) as week_start_date,
                cast(sum(daily_reviews) as bigint) as weekly_reviews,
-               round(avg(avg_daily_rating), 6) as avg_weekly_rating
+               {average('avg_daily_rating')} as avg_weekly_rating
         from operations group by 1""",
     "q_groups": """
         select case when review_count between 1 and 5 then '1-5 reviews'
@@ -179,9 +186,9 @@ CTES = {
                     when review_count > 50 then '51+ reviews' else '0 reviews' end as review_count_group,
                count(user_id) as user_count
         from users where review_count is not null group by 1""",
-    "q_weekday": """
+    "q_weekday": f"""
         select dayname(date) as day_of_week, round(avg(daily_checkins), 6) as avg_checkins,
-               round(avg(avg_daily_rating), 6) as avg_rating
+               {average('avg_daily_rating')} as avg_rating
         from operations group by 1""",
     "q_stars": """
         select cast(year(date) as integer) as year, cast(month(date) as integer) as month,
@@ -198,31 +205,31 @@ CTES = {
         select category as category_name, count(distinct review_id) as review_count
         from engagement join marketing_category using (business_id)
         group by category order by review_count desc, category_name limit 10""",
-    "q_users": """
-        select round(avg(average_stars), 6) as overall_avg_user_rating, cast(sum(fans) as bigint) as total_fans,
+    "q_users": f"""
+        select {average('average_stars')} as overall_avg_user_rating, cast(sum(fans) as bigint) as total_fans,
                cast(sum(compliment_count) as bigint) as total_compliments, count(user_id) as total_users
         from users join compliments using (user_id)""",
-    "q_investor_kpis": """
+    "q_investor_kpis": f"""
         select count(distinct business_id) as total_businesses, cast(sum(review_count) as bigint) as total_reviews,
                cast(sum(checkin_count) as bigint) as total_checkins, cast(sum(tip_count) as bigint) as total_tips,
                cast(sum(photo_count) as bigint) as total_photos,
-               round(avg(engagement_score), 6) as avg_engagement_score, round(avg(growth_rate), 6) as avg_growth_rate
+               round(avg(engagement_score), 6) as avg_engagement_score, {average('growth_rate')} as avg_growth_rate
         from measurable""",
-    "q_trend": """
+    "q_trend": f"""
         select month_id, cast(sum(review_count) as bigint) as monthly_total_reviews,
                cast(sum(checkin_count) as bigint) as monthly_total_checkins,
                cast(sum(tip_count) as bigint) as monthly_total_tips,
                cast(sum(photo_count) as bigint) as monthly_total_photos,
                round(avg(engagement_score), 6) as monthly_avg_engagement_score,
-               round(avg(growth_rate), 6) as monthly_avg_growth_rate
+               {average('growth_rate')} as monthly_avg_growth_rate
         from measurable group by month_id""",
-    "q_subcategories": """
+    "q_subcategories": f"""
         select subcategory, cast(sum(review_count) as bigint) as category_total_reviews,
                cast(sum(checkin_count) as bigint) as category_total_checkins,
                cast(sum(tip_count) as bigint) as category_total_tips,
                cast(sum(photo_count) as bigint) as category_total_photos,
                round(avg(engagement_score), 6) as category_avg_engagement_score,
-               round(avg(growth_rate), 6) as category_avg_growth_rate
+               {average('growth_rate')} as category_avg_growth_rate
         from measurable join business_subcategory using (business_id) where subcategory is not null
         group by subcategory order by category_total_reviews desc, subcategory limit 10""",
 }
@@ -248,6 +255,13 @@ QUERIES = {
         from review""",
     "json_reject_stats": """
         select count_if(useful <> 7) as kept, count_if(useful = 7) as rejected from review""",
+    "attribute_values": """
+        select cast(p_partkey as varchar) as business_id,
+               '{ "brand" :"' || p_brand || '", "rates": [1.50, ' || case when p_size % 3 = 0 then 0 else p_size end || 'E1],"nested":{"size": '
+                   || case when p_size % 3 = 0 then 'null' else p_size || '.0' end || ' }  }' as attributes_json,
+               p_brand as brand, cast(case when p_size % 3 = 0 then null else p_size end as double) as size,
+               cast(case when p_size % 3 = 0 then 0 else p_size end * 10 as double) as rate
+        from part""",
     "table_row_counts": """
         select 'manager/Dim_Date' as table_name, count(*) as row_count from all_days
         union all select 'manager/Dim_Location', count(*) from (select distinct business_id, city, state,
@@ -374,10 +388,10 @@ QUERIES = {
         left join checkin_count using (business_id)""",
     "engagement_fk_filter": "select review_id, user_id, business_id, date_id from engagement",
     "manager_kpis": "select * from q_manager_kpis",
-    "kpis_one_business": """
+    "kpis_one_business": f"""
         select count(distinct business_id) as num_businesses, cast(sum(daily_reviews) as bigint) as total_reviews,
-               round(avg(avg_daily_rating), 6) as avg_rating, cast(sum(daily_checkins) as bigint) as total_checkins,
-               round(avg(sentiment_score_avg), 6) as avg_sentiment
+               {average('avg_daily_rating')} as avg_rating, cast(sum(daily_checkins) as bigint) as total_checkins,
+               {average('sentiment_score_avg')} as avg_sentiment
         from operations
         where business_id = (select business_id from operations group by business_id
                              order by sum(daily_reviews) desc, business_id limit 1)""",

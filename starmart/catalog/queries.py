@@ -132,6 +132,23 @@ def json_reject_stats(spark, sf_dir):
     return json_lines.json_reject_stats(spark, path, schemas.REVIEW)
 
 
+@query
+def attribute_values(spark, sf_dir):
+    """Attributes as they stand in a JSON file of all businesses, with values read out of them by type."""
+    business = Model(spark, sf_dir).business.select("business_id", "name", "attributes.brand", "attributes.size")
+    text = F.concat(F.lit('{ "brand" :"'), "brand", F.lit('", "rates": [1.50, '), F.coalesce("size", F.lit(0)), F.lit("E1],"),
+                    F.lit('"nested":{"size": '), F.coalesce(F.col("size").cast("string"), F.lit("null")), F.lit(".0 }  }"))
+    text = F.replace(text, F.lit("null.0"), F.lit("null"))
+    line = F.concat(F.lit('{"business_id": "'), "business_id", F.lit('", "attributes": '), text, F.lit(', "name": "'), "name", F.lit('"}'))
+    path = scratch(spark)
+    business.select(line.alias("value")).write.text(path)
+    stored = dims.dim_business_profile(json_lines.read_json_lines(spark, path, schemas.BUSINESS)).select("business_id", "attributes_json")
+    return stored.select(
+        "*", json_lines.json_value("attributes_json", "$.brand", "string").alias("brand"),
+        json_lines.json_value("attributes_json", "$.nested.size", "double").alias("size"),
+        json_lines.json_value("attributes_json", "$.rates[1]", "double").alias("rate"))
+
+
 @query
 def table_row_counts(spark, sf_dir):
     """Build and store the whole star schema; one row per table with its row count."""
@@ -148,22 +165,17 @@ def dashboard_payload(spark, sf_dir):
     root = scratch(spark)
 
     def keep(name: str, frame: DataFrame) -> DataFrame:
-        """A table that several result sets need, stored once."""
+        """A table that several plans need, stored once."""
         write_table(frame, f"{root}/{name}")
         return spark.read.schema(frame.schema).parquet(f"{root}/{name}")
 
     activity = keep("activity", events.daily_activity(m.activity("review", "checkin", "tip", score_col="score")))
-    engagement = keep("engagement", m.engagement)
-    profile, users = keep("profile", m.profile), keep("users", m.dim_user)
-    operations = keep("operations", facts.operational_daily_fact(activity))
-    days = keep("days", dims.dim_date(events.review_checkin_dates(activity), "operations"))
-    monthly = keep("monthly", facts.monthly_fact(activity))
-    dim_business = dims.dim_business(m.business, events.business_review_stats(activity))
-    sets = {
-        "manager": dash.manager_dashboard(operations, days, users),
-        "marketing": dash.marketing_dashboard(engagement, None, profile, users),
-        "investor": dash.investor_dashboard(monthly, dim_business),
-    }
+    sets = dash.all_dashboards(
+        operations=facts.operational_daily_fact(activity),
+        days=dims.dim_date(events.review_checkin_dates(activity), "operations"),
+        engagement=m.engagement, monthly=facts.monthly_fact(activity),
+        dim_business=dims.dim_business(m.business, events.business_review_stats(activity)),
+        profile=m.profile, users=m.dim_user, keep=keep)
     order = {
         "manager.timeSeries": ["week_start_date"],
         "manager.sentimentBreakdown": ["review_count_group"],

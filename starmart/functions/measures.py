@@ -32,11 +32,25 @@ def growth_rate(current: Column, previous: Column) -> Column:
     return F.when(previous != 0, (current - previous) / previous)
 
 
+#: Doubles are summed as decimals of twelve places: such sums are exact, so they do not depend on the order of the rows.
+EXACT = "decimal(38,12)"
+
+
+def exact(value: str | Column) -> Column:
+    """A double as an exact summand; null for what is no number."""
+    return (F.col(value) if isinstance(value, str) else value).try_cast(EXACT)
+
+
 def mean(total: str | Column, n: str | Column) -> Column:
     """Average from a sum and a count; null when nothing was counted."""
     n = F.col(n) if isinstance(n, str) else n
     total = F.col(total) if isinstance(total, str) else total
-    return F.when(n > 0, total / n)
+    return F.when(n > 0, total.cast("double") / n)
+
+
+def exact_mean(value: str | Column) -> Column:
+    """Average of a double column, the same for any order and partitioning of the rows."""
+    return mean(F.sum(exact(value)), F.count(exact(value)))
 
 
 def null_safe_sum(columns: list[str]) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from starmart.functions.dates import parse_date, parse_timestamp
-from starmart.functions.measures import mean
+from starmart.functions.measures import EXACT, exact, mean
 from starmart.functions.text import COMMA_ANY_SPACE, COMMA_SPACE, split_text
 
 COUNTERS = [
@@ -43,13 +43,13 @@ def activity_rows(
     """
     parts = []
     if review is not None:
-        score = F.col(score_col).cast("double") if score_col else F.lit(None).cast("double")
+        score = exact(score_col) if score_col else F.lit(None).cast(EXACT)
         parts.append(_counted(
-            review.select("business_id", parse_date("date").alias("date"), "review_id", "stars",
+            review.select("business_id", parse_date("date").alias("date"), "review_id", exact("stars").alias("stars"),
                           score.alias("score")),
             review_rows=F.lit(1),
             review_count=F.col("review_id").isNotNull().cast("int"),
-            star_sum=F.col("stars").cast("double"),
+            star_sum=F.col("stars"),
             star_count=F.col("stars").isNotNull().cast("int"),
             score_sum=F.col("score"),
             score_count=F.col("score").isNotNull().cast("int"),
@@ -68,7 +68,7 @@ def activity_rows(
 def _counted(events: DataFrame, **counters) -> DataFrame:
     columns = []
     for name in COUNTERS:
-        kind = "double" if name.endswith("_sum") else "bigint"
+        kind = EXACT if name.endswith("_sum") else "bigint"
         columns.append(counters.get(name, F.lit(0)).cast(kind).alias(name))
     return events.select("business_id", "date", *columns)
 

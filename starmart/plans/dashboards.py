@@ -2,14 +2,18 @@
 
 Facts are pre-aggregated on their own key before they meet a dimension: the
 joins then see one row per day or per business instead of one per event.
+Averages of doubles are made from exact sums, so a result is the same for any
+order and partitioning of its rows.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starmart.functions.dates import week_start
-from starmart.functions.measures import engagement_score, mean, review_group, review_group_rank
+from starmart.functions.measures import engagement_score, exact, exact_mean, mean, review_group, review_group_rank
 from starmart.operators.skew import lookup_join
 
 TOP_K = 10
@@ -26,30 +30,37 @@ def manager_kpis(operations: DataFrame, business_id: str | Column | None = None)
     return for_business(operations, business_id).agg(
         F.count_distinct("business_id").alias("num_businesses"),
         F.sum("daily_reviews").alias("total_reviews"),
-        F.avg("avg_daily_rating").alias("avg_rating"),
+        exact_mean("avg_daily_rating").alias("avg_rating"),
         F.sum("daily_checkins").alias("total_checkins"),
-        F.avg("sentiment_score_avg").alias("avg_sentiment"),
+        exact_mean("sentiment_score_avg").alias("avg_sentiment"),
     )
 
 
 def _by_day(operations: DataFrame, dim_date: DataFrame, business_id: str | Column | None) -> DataFrame:
     """Totals per calendar day with the day's attributes."""
-    daily = for_business(operations, business_id).groupBy("date_id").agg(
+    daily = for_business(operations, business_id).groupBy("date_id").agg(*_operations_measures())
+    return daily.join(F.broadcast(dim_date), "date_id")  # at most one row per calendar day
+
+
+def _operations_measures() -> list[Column]:
+    return [
         F.sum("daily_reviews").alias("reviews"),
         F.sum("daily_checkins").alias("checkins"),
         F.count("daily_checkins").alias("checkin_days"),
-        F.sum("avg_daily_rating").alias("rating_sum"),
-        F.count("avg_daily_rating").alias("rating_days"),
-    )
-    return daily.join(F.broadcast(dim_date), "date_id")  # at most one row per calendar day
+        F.sum(exact("avg_daily_rating")).alias("rating_sum"),
+        F.count(exact("avg_daily_rating")).alias("rating_days"),
+    ]
 
 
 def weekly_performance(
     operations: DataFrame, dim_date: DataFrame, business_id: str | Column | None = None
 ) -> DataFrame:
+    return _weekly(_by_day(operations, dim_date, business_id))
+
+
+def _weekly(by_day: DataFrame) -> DataFrame:
     return (
-        _by_day(operations, dim_date, business_id)
-        .groupBy(week_start("date").alias("week_start_date"))
+        by_day.groupBy(week_start("date").alias("week_start_date"))
         .agg(
             F.sum("reviews").alias("weekly_reviews"),
             mean(F.sum("rating_sum"), F.sum("rating_days")).alias("avg_weekly_rating"),
@@ -62,9 +73,12 @@ def performance_by_day(
     operations: DataFrame, dim_date: DataFrame, business_id: str | Column | None = None
 ) -> DataFrame:
     """Averages per weekday, Monday first."""
+    return _weekdays(_by_day(operations, dim_date, business_id))
+
+
+def _weekdays(by_day: DataFrame) -> DataFrame:
     return (
-        _by_day(operations, dim_date, business_id)
-        .groupBy("day_of_week", F.weekday("date").alias("weekday"))
+        by_day.groupBy("day_of_week", F.weekday("date").alias("weekday"))
         .agg(
             mean(F.sum("checkins"), F.sum("checkin_days")).alias("avg_checkins"),
             mean(F.sum("rating_sum"), F.sum("rating_days")).alias("avg_rating"),
@@ -89,7 +103,10 @@ def users_by_review_bucket(dim_user: DataFrame) -> DataFrame:
 
 def avg_stars_monthly(engagement: DataFrame, dim_date: DataFrame | None = None) -> DataFrame:
     """Average stars per calendar month. Without a calendar the months are read off the day keys (yyyyMMdd)."""
-    daily = engagement.groupBy("date_id").agg(F.sum("stars").alias("stars"), F.count("stars").alias("n"))
+    return _stars_by_month(engagement.groupBy("date_id").agg(F.sum("stars").alias("stars"), F.count("stars").alias("n")), dim_date)
+
+
+def _stars_by_month(daily: DataFrame, dim_date: DataFrame | None) -> DataFrame:
     if dim_date is None:
         day = F.col("date_id").cast("int")
         dated = daily.withColumns({"year": F.floor(day / 10000).cast("int"), "month": (F.floor(day / 100) % 100).cast("int")})
@@ -113,7 +130,10 @@ def vote_distribution(engagement: DataFrame) -> DataFrame:
 
 def top_states(engagement: DataFrame, profile: DataFrame, k: int = TOP_K) -> DataFrame:
     """States with the most reviews; ties by name."""
-    per_business = engagement.groupBy("business_id").agg(F.count("review_id").alias("n"))
+    return _states(engagement.groupBy("business_id").agg(F.count("review_id").alias("n")), profile, k)
+
+
+def _states(per_business: DataFrame, profile: DataFrame, k: int) -> DataFrame:
     states = profile.select("business_id", "state").filter(F.col("state").isNotNull())
     return (
         per_business.join(states, "business_id")
@@ -129,32 +149,36 @@ def top_categories(engagement: DataFrame, profile: DataFrame, k: int = TOP_K) ->
     categories. The least and the greatest business of an id tell which ids belong to several; their pairs alone are
     expanded to categories and counted distinct, so that part costs what the true share of such ids costs.
     """
+    pairs = engagement.select("review_id", "business_id").filter("review_id is not null and business_id is not null")
+    # Combined on the map side, so an id with many rows is never hot.
+    owners = pairs.groupBy("review_id").agg(F.min("business_id").alias("first"), F.max("business_id").alias("last"))
+    shared = pairs.join(owners.filter("first < last").select("review_id"), "review_id", "left_semi").distinct()
+    return _categories(owners, shared, profile, k)
+
+
+def _categories(owners: DataFrame, shared: DataFrame | None, profile: DataFrame, k: int) -> DataFrame:
+    """From the least and greatest business of each review id, and the pairs of the ids that have several."""
     bridge = (
         profile.select("business_id", F.explode("categories").alias("category_name"))
         .filter("business_id is not null and category_name != ''").distinct()
     )
-    pairs = engagement.select("review_id", "business_id").filter("review_id is not null and business_id is not null")
-    # Combined on the map side, so an id with many rows is never hot.
-    owners = pairs.groupBy("review_id").agg(F.min("business_id").alias("first"), F.max("business_id").alias("last"))
     per_business = owners.filter("first = last").groupBy(F.col("first").alias("business_id")).agg(F.count(F.lit(1)).alias("n"))
     counted = per_business.join(bridge, "business_id").groupBy("category_name").agg(F.sum("n").alias("n"))
 
-    several = owners.filter("first < last").select("review_id")
-    shared = pairs.join(several, "review_id", "left_semi").distinct()
-    expanded = (
-        lookup_join(shared, bridge, ["business_id"], "inner")
-        .groupBy("category_name").agg(F.count_distinct("review_id").alias("n"))
-    )
+    if shared is not None:
+        counted = counted.unionByName(
+            lookup_join(shared, bridge, ["business_id"], "inner")
+            .groupBy("category_name").agg(F.count_distinct("review_id").alias("n"))
+        )
     return (
-        counted.unionByName(expanded)
-        .groupBy("category_name").agg(F.sum("n").alias("review_count"))
+        counted.groupBy("category_name").agg(F.sum("n").alias("review_count"))
         .orderBy(F.desc("review_count"), "category_name").limit(k)
     )
 
 
 def user_stats(dim_user: DataFrame) -> DataFrame:
     return dim_user.agg(
-        F.avg("average_stars").alias("overall_avg_user_rating"),
+        exact_mean("average_stars").alias("overall_avg_user_rating"),
         F.sum("fans").alias("total_fans"),
         F.sum("compliment_count").alias("total_compliments"),
         F.count("user_id").alias("total_users"),
@@ -178,11 +202,15 @@ COUNTS = ["review_count", "checkin_count", "tip_count", "photo_count"]
 
 def _totals(monthly: DataFrame, *keys: str) -> DataFrame:
     """Sums of the measurable months by ``keys``."""
-    return measurable(monthly).groupBy(*keys).agg(
+    return measurable(monthly).groupBy(*keys).agg(*_monthly_measures())
+
+
+def _monthly_measures() -> list[Column]:
+    return [
         *[F.sum(c).alias(c) for c in COUNTS],
-        F.sum("growth_rate").alias("growth_sum"),
+        F.sum(exact("growth_rate")).alias("growth_sum"),
         F.count(F.lit(1)).alias("months"),
-    )
+    ]
 
 
 def _average_engagement() -> Column:
@@ -203,8 +231,12 @@ def _performance(prefix: str) -> list[Column]:
 
 
 def investor_kpis(monthly: DataFrame) -> DataFrame:
+    return _investor_kpis(_totals(monthly, "business_id"))
+
+
+def _investor_kpis(per_business: DataFrame) -> DataFrame:
     # The businesses are counted as the groups of a per-business total.
-    totals = _totals(monthly, "business_id").agg(
+    totals = per_business.agg(
         F.count("business_id").alias("total_businesses"),
         *[F.sum(c).alias(c) for c in [*COUNTS, "growth_sum", "months"]],
     )
@@ -217,14 +249,22 @@ def investor_kpis(monthly: DataFrame) -> DataFrame:
 
 
 def investor_trend(monthly: DataFrame) -> DataFrame:
-    return _totals(monthly, "month_id").select("month_id", *_performance("monthly")).orderBy("month_id")
+    return _trend(_totals(monthly, "month_id"))
+
+
+def _trend(per_month: DataFrame) -> DataFrame:
+    return per_month.select("month_id", *_performance("monthly")).orderBy("month_id")
 
 
 def top_subcategories(monthly: DataFrame, dim_business: DataFrame, k: int = TOP_K) -> DataFrame:
     """Subcategories with the most reviews; ties by name."""
+    return _subcategories(_totals(monthly, "business_id"), dim_business, k)
+
+
+def _subcategories(per_business: DataFrame, dim_business: DataFrame, k: int) -> DataFrame:
     labels = dim_business.select("business_id", "subcategory").filter(F.col("subcategory").isNotNull())
     totals = (
-        _totals(monthly, "business_id").join(labels, "business_id")
+        per_business.join(labels, "business_id")
         .groupBy("subcategory")
         .agg(*[F.sum(c).alias(c) for c in [*COUNTS, "growth_sum", "months"]])
     )
@@ -262,3 +302,82 @@ def investor_dashboard(monthly, dim_business) -> dict[str, DataFrame]:
         "trends": investor_trend(monthly),
         "byCategory": top_subcategories(monthly, dim_business),
     }
+
+
+# ---- all dashboards at once: one aggregate per table ----
+
+
+def totals_by(table: DataFrame, keys: list[str], measures: list[Column]) -> DataFrame:
+    """The measures by each key alone, from one pass: column ``of`` names the key of a row, the other keys are null."""
+    alone = (1 << len(keys)) - 1
+    sets = table.groupingSets([[k] for k in keys], *keys).agg(F.grouping_id().alias("__set"), *measures)
+    of = F.when(F.lit(False), "")
+    for place, key in enumerate(keys):
+        of = of.when(F.col("__set") == alone - (1 << (len(keys) - 1 - place)), key)
+    return sets.withColumn("of", of).drop("__set")
+
+
+def all_dashboards(
+    operations: DataFrame, days: DataFrame, engagement: DataFrame, monthly: DataFrame, dim_business: DataFrame,
+    profile: DataFrame, users: DataFrame, keep, k: int = TOP_K,
+) -> dict[str, dict[str, DataFrame]]:
+    """The result sets of the three dashboards, each fact read once.
+
+    Every fact goes through one aggregate with grouping sets whose rows are routed to the result sets by their set;
+    result sets that need more are rollups of those. ``keep(name, frame)`` stores a frame and returns it as stored.
+    Review ids under several businesses are the one reason to read a fact again, and only if there are any.
+    """
+    steps = {
+        "operations": lambda: totals_by(operations, ["business_id", "date_id"], [
+            *_operations_measures(), F.sum(exact("sentiment_score_avg")).alias("sentiment_sum"),
+            F.count(exact("sentiment_score_avg")).alias("sentiment_days")]),
+        "engagement": lambda: totals_by(engagement, ["date_id", "business_id", "review_id"], [
+            F.sum("stars").alias("stars"), F.count("stars").alias("rated"), F.count("review_id").alias("n"),
+            *[F.sum(f"{v}_votes").alias(v) for v in ("useful", "funny", "cool")],
+            F.min("business_id").alias("first"), F.max("business_id").alias("last")]),
+        "monthly": lambda: totals_by(measurable(monthly), ["business_id", "month_id"], _monthly_measures()),
+        "users": lambda: users.groupBy(F.when(F.col("review_count").isNotNull(), review_group("review_count")).alias("review_count_group")).agg(
+            F.count("user_id").alias("user_count"), F.sum(exact("average_stars")).alias("stars"),
+            F.count(exact("average_stars")).alias("rated"), F.sum("fans").alias("fans"), F.sum("compliment_count").alias("compliments")),
+        "labels": lambda: dim_business.select("business_id", "subcategory"),
+        "profile": lambda: profile.select("business_id", "state", "categories"),
+    }
+    with ThreadPoolExecutor(len(steps)) as pool:  # independent jobs, submitted together
+        stored = dict(zip(steps, pool.map(lambda name: keep(name, steps[name]()), steps)))
+
+    def of(table: str, key: str) -> DataFrame:
+        return stored[table].where(F.col("of") == key)
+
+    by_day = of("operations", "date_id").drop("business_id").join(F.broadcast(days), "date_id")
+    per_day, per_business = of("engagement", "date_id"), of("monthly", "business_id")
+    owners = of("engagement", "review_id").where("review_id is not null").select("review_id", "first", "last")
+    several = owners.where("first < last")
+    pairs = engagement.select("review_id", "business_id").filter("review_id is not null and business_id is not null")
+    shared = None if several.isEmpty() else pairs.join(several.select("review_id"), "review_id", "left_semi").distinct()
+    groups = stored["users"]
+    return {
+        "manager": {
+            "kpis": of("operations", "business_id").agg(
+                F.count("business_id").alias("num_businesses"), F.sum("reviews").alias("total_reviews"),
+                mean(F.sum("rating_sum"), F.sum("rating_days")).alias("avg_rating"), F.sum("checkins").alias("total_checkins"),
+                mean(F.sum("sentiment_sum"), F.sum("sentiment_days")).alias("avg_sentiment")),
+            "timeSeries": _weekly(by_day),
+            "sentimentBreakdown": groups.where("review_count_group is not null").select("review_count_group", "user_count")
+                                        .orderBy(review_group_rank("review_count_group")),
+            "performanceByDay": _weekdays(by_day),
+        },
+        "marketing": {
+            "avgStarsMonthly": _stars_by_month(per_day.select("date_id", "stars", F.col("rated").alias("n")), None),
+            "voteDistribution": per_day.agg(*[F.sum(v).alias(f"total_{v}") for v in ("useful", "funny", "cool")]),
+            "reviewsByState": _states(of("engagement", "business_id").select("business_id", "n"), stored["profile"], k),
+            "topCategories": _categories(owners, shared, stored["profile"], k),
+            "userStats": groups.agg(
+                mean(F.sum("stars"), F.sum("rated")).alias("overall_avg_user_rating"), F.sum("fans").alias("total_fans"),
+                F.sum("compliments").alias("total_compliments"), F.coalesce(F.sum("user_count"), F.lit(0)).alias("total_users")),
+        },
+        "investor": {
+            "kpis": _investor_kpis(per_business),
+            "trends": _trend(of("monthly", "month_id")),
+            "byCategory": _subcategories(per_business, stored["labels"], k),
+        },
+    }

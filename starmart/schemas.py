@@ -20,6 +20,9 @@ BUSINESS = _struct(
     attributes=TEXT, categories=TEXT, hours=TEXT,
 )
 
+#: Text fields of the sources that hold JSON; they keep their source text.
+SOURCE_TEXT = ["attributes", "hours"]
+
 CHECKIN = _struct(business_id=TEXT, date=TEXT)
 
 REVIEW = _struct(

@@ -53,11 +53,44 @@ def test_bad_lines_are_skipped_and_counted(spark, tmp_path):
     assert json_lines.json_reject_stats(spark, path, schemas.TIP).first().asDict() == {"kept": 2, "rejected": 2}
 
 
-def test_nested_objects_stay_text(spark, tmp_path):
-    path = write_lines(tmp_path / "b.json", ['{"business_id": "b1", "attributes": {"WiFi": "free", "n": {"a": 1}}}'])
-    row = json_lines.read_json_lines(spark, path, schemas.BUSINESS).first()
-    assert row.attributes == '{"WiFi":"free","n":{"a":1}}'  # as to_json writes a struct
-    assert row.categories is None
+ATTRIBUTES = [
+    '{"a": 1.10, "b": 1E5, "c": "x\\u00e9é"}', '{ "d":[ 1,{"e":"}\\"{"} ] , "n" : {"a":1}}', "{}", "[1.0 ,2]", "12.50", "true",
+    '{%s}' % ", ".join(f'"k{i}":  "v{i}"' for i in range(3000)),
+]
+
+
+def test_nested_objects_keep_their_source_text(spark, tmp_path):
+    lines = [f'{{"business_id": "b{i}", "z": {{"attributes": 1}}, "attributes": {a} , "name":"n", "hours":{{"Mon" : "8:0"}}}}'
+             for i, a in enumerate(ATTRIBUTES)]
+    path = write_lines(tmp_path / "b.json", lines)
+    rows = json_lines.read_json_lines(spark, path, schemas.BUSINESS).orderBy(F.expr("int(substr(business_id, 2))")).collect()
+    assert [r.attributes for r in rows] == ATTRIBUTES
+    assert {(r.name, r.hours, r.categories) for r in rows} == {("n", '{"Mon" : "8:0"}', None)}
+
+
+def test_text_fields_that_are_no_objects(spark, tmp_path):
+    deep = '{"k":' * 12 + "1.0" + "}" * 12
+    path = write_lines(tmp_path / "b.json", [
+        '{"business_id":"b0","attributes":null}', '{"business_id":"b1","attributes":"a \\"q\\""}', '{"business_id":"b2"}',
+        '{"business_id":"b3","attributes":{"x":1},"attributes": {"y": 2.0}}', f'{{"business_id":"b4","attributes": {deep}}}',
+    ])
+    rows = json_lines.read_json_lines(spark, path, schemas.BUSINESS).orderBy("business_id").collect()
+    # the last of repeated fields counts; beyond the levels kept as they stand, text is compact JSON
+    assert [r.attributes for r in rows] == [None, 'a "q"', None, '{"y": 2.0}', deep]
+
+
+def test_typed_values_out_of_source_text(spark):
+    frame = spark.createDataFrame([('{"a": 1.50, "b": {"c": "x"}, "d": [1, 2]}',), ("no json",), (None,), ('{"a": "many"}',)], "t string")
+    value = json_lines.json_value
+    rows = frame.select(value("t", "$.a", "double"), value("t", "$.b.c", "string"), value("t", "$.d[1]", "int")).collect()
+    assert [tuple(r) for r in rows] == [(1.5, "x", 2), (None, None, None), (None, None, None), (None, None, None)]
+
+
+def test_a_line_is_parsed_once(spark, tmp_path):
+    path = write_lines(tmp_path / "t.json", ['{"user_id": "u1", "business_id": "b1"}'])
+    rows = json_lines.read_json_lines(spark, path, schemas.TIP).filter("user_id = 'u1' and compliment_count is null")
+    assert rows._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+    assert rows.count() == 1
 
 
 def test_missing_source_raises(spark, root, json_paths):
