@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from starmart.llm.tokens import encode_batches
+from starmart.llm.tokens import binary, encode_batches
 
 CAPACITY = 1024
 BLOCK_ROWS = 2000
@@ -81,21 +81,19 @@ def windows(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]
     return window, offset
 
 
-def cut(end_id: int, capacity: int):
+def cut(capacity: int):
     """Documents' ids to pieces of at most ``capacity`` ids."""
-    def emit(rows: pa.Table, encoded: list[bytes], dtype: np.dtype) -> pa.Table:
-        end, step = np.array([end_id], dtype).tobytes(), capacity * dtype.itemsize
-        ids = [e + end for e in encoded]
-        pieces = [range(0, len(b), step) for b in ids]
-        from_row = pa.array(np.repeat(np.arange(len(ids)), [len(p) for p in pieces]))
-        cuts = [ids[i][at:at + step] for i, p in enumerate(pieces) for at in p]
+    def emit(rows: pa.Table, ids: np.ndarray, offsets: np.ndarray) -> pa.Table:
+        sizes = np.diff(offsets)
+        counts = -(-sizes // capacity)
+        row = np.repeat(np.arange(len(sizes)), counts)
+        start = (np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)) * capacity
+        length = np.minimum(sizes[row] - start, capacity)
+        bounds = np.append(offsets[:-1][row] + start, offsets[-1])
         return pa.table({
-            "doc_id": rows.column("doc_id").take(from_row),
-            "start": pa.array([at // dtype.itemsize for p in pieces for at in p], pa.int64()),
-            "length": pa.array([len(c) // dtype.itemsize for c in cuts], pa.int64()),
-            "ids": pa.array([np.frombuffer(c, dtype).astype("<u4").tobytes() if dtype.itemsize != 2 else c for c in cuts], pa.binary()),
-            "doc_tokens": pa.array([len(ids[i]) // dtype.itemsize for i, p in enumerate(pieces) for _ in p], pa.int64()),
-            "salt": pa.array([zlib.crc32(c) for c in cuts], pa.int64()),
+            "doc_id": rows.column("doc_id").take(pa.array(row)), "start": pa.array(start), "length": pa.array(length),
+            "ids": binary(ids.astype("<u4") if ids.itemsize > 2 else ids, bounds), "doc_tokens": pa.array(sizes[row]),
+            "salt": pa.array([zlib.crc32(ids[a:b].tobytes()) for a, b in zip(bounds, bounds[1:])], pa.int64()),
         })
     return emit
 
@@ -114,9 +112,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPAC
     cut_schema = StructType([*piece.fields, long("salt")])
     out_schema = StructType([*piece.fields, long("sequence_id"), long("offset")])
     arrow_cut, arrow_out = to_arrow_schema(cut_schema), to_arrow_schema(out_schema)
-    emit = cut(end_id, capacity)
+    emit = cut(capacity)
     pieces = inner.mapInArrow(
-        encode_batches(tokenizer, "text", lambda *a: emit(*a).cast(arrow_cut)), cut_schema)
+        encode_batches(tokenizer, "text", end_id, lambda *a: emit(*a).cast(arrow_cut)), cut_schema)
     pieces = pieces.withColumn("block", F.pmod(F.xxhash64("doc_id", "start", "salt"), F.lit(blocks))).drop("salt")
 
     def pack_block(rows: pa.Table) -> pa.Table:

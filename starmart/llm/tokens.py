@@ -1,26 +1,37 @@
 """Whole texts to token ids, on Arrow batches.
 
 Tokenizers split text before they merge, and between two visible characters a single space always starts a new piece
-and a single line feed always is one. So a text is cut there, each distinct piece is encoded once, and its ids are
-looked up from then on. A word of plain letters goes straight to the tokenizer's model, which spares the slow
-splitting; whether that gives the same ids is tried on samples first. Strings of special tokens are ordinary text.
+and a single line feed always is one. So the texts of a slice are cut there by Arrow, the pieces are dictionary-encoded,
+each distinct piece is looked up once (and encoded once per worker), and numpy puts the ids of all texts together; Python
+sees distinct pieces only. A word of plain letters goes straight to the tokenizer's model, which spares the slow
+splitting; whether that gives the same ids is tried on samples first. Texts with other white space are cut one by one.
+Texts that hold the string of a special token go whole to the tokenizer, which gives its id as it does by default; with
+``special=False`` such strings are ordinary text.
 """
 
 from __future__ import annotations
 
 import re
+import string
 from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+
+from starmart.llm.words import slices
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
-PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
+PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+MARKS = string.punctuation
 SAMPLES = ["hello", "Hello", "\u00e9lan", "gr\u00fc\u00dfe", "THE", "xqzjw", "end.", "Ende,***", "it!!"]
-PIECES_KEPT = 100_000
+PIECES_KEPT = 400_000
 LONGEST_KEPT = 64
+SLICE_BYTES = 1 << 22
+#: White space that is no single space or line feed between visible characters.
+ODD_SPACE = r"^[\s\p{Z}]|[\s\p{Z}]$|[ \n][ \n]|[\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 def byte_letters() -> dict[int, str]:
@@ -33,46 +44,45 @@ def byte_letters() -> dict[int, str]:
 LETTERS = byte_letters()
 
 
-class Recent(dict):
-    """A table in two generations: what was not asked for during a whole generation is forgotten."""
+class Store:
+    """Ids of pieces, one after the other; begun anew when it is full, between slices."""
+
+    def __init__(self):
+        self.spaced: dict[str, int] = {}
+        self.bare: dict[str, int] = {}
+        self.ids, self.starts, self.lengths = bytearray(), array("q"), array("q")
 
-    def __init__(self, make: Callable[[str], bytes], kept: int):
-        super().__init__()
-        self.make, self.kept, self.old = make, kept, {}
+    def get(self, place: int, width: int) -> bytes:
+        start = self.starts[place]
+        return bytes(self.ids[start:start + self.lengths[place] * width])
 
-    def __missing__(self, key: str) -> bytes:
-        value = self.old.get(key) or self.make(key)
-        if len(key) > LONGEST_KEPT:
-            return value
-        if len(self) >= self.kept:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
+    def add(self, ids: bytes, width: int) -> int:
+        self.starts.append(len(self.ids))
+        self.ids += ids
+        self.lengths.append(len(ids) // width)
+        return len(self.lengths) - 1
 
 
 class Encoder:
     """Encodes texts to little-endian unsigned ids of ``width`` bytes each."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        tokens = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [t.content for t in tokens] if special else [t.content for t in tokens if not t.special]
         self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.code, self.dtype = "H" if self.width == 2 else "I", np.dtype(f"<u{self.width}")
-        self.words = Recent(self.word, PIECES_KEPT)
-        self.marks = Recent(self.whole, 1000)
-        self.bare = Recent(lambda piece: self.piece("", piece), PIECES_KEPT // 4)
-        self.spaced = Recent(lambda piece: self.piece(" ", piece), PIECES_KEPT)
+        self.store, self.marks = Store(), {}
         self.line = self.whole("\n")
         self.lower = None  # how a plain word reaches the model; None if neither way gives the samples' ids
         for lower in (False, True):
             self.lower = lower
             if all(self.piece(before, w) == self.whole(before + w) for before in ("", " ") for w in SAMPLES):
                 break
-            self.words.clear()
         else:
             self.lower = None
 
@@ -81,36 +91,127 @@ class Encoder:
 
     def word(self, word: str) -> bytes:
         """A plain word, with the space before it if the model has one, by the model alone."""
-        if not word.isalpha() or not word.isascii():
+        if not word.isascii() or not word.isalpha():
             word = word.encode().decode("latin-1").translate(LETTERS)
         return array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()
 
+    def split(self, piece: str) -> tuple[str, str] | None:
+        """A piece as plain letters and the signs behind them, if it is that."""
+        word = piece.rstrip(MARKS)
+        if not (word.isascii() and word.isalpha()) and not PLAIN.fullmatch(word):
+            return None
+        return word, piece[len(word):]
+
     def piece(self, before: str, piece: str) -> bytes:
-        plain = PLAIN.fullmatch(piece) if self.lower is not None else None
+        plain = self.split(piece) if self.lower is not None else None
         if plain is None:
             return self.whole(before + piece)
-        word, mark = plain.groups()
-        ids = self.words[word.lower() if self.lower else before + word]
+        word, mark = plain
+        if mark and mark not in self.marks:
+            if len(self.marks) >= 1000:
+                self.marks.clear()
+            self.marks[mark] = self.whole(mark)
+        ids = self.word(word.lower() if self.lower else before + word)
         return ids + self.marks[mark] if mark else ids
 
-    def line_ids(self, line: str) -> bytes:
-        first, *rest = line.split(" ")
-        return self.bare[first] + b"".join(map(self.spaced.__getitem__, rest))
+    def add(self, known: dict[str, int], before: str, name: str) -> int:
+        """A piece's ids put into the store; those of a word are found again with any signs behind it."""
+        plain = self.split(name) if self.lower is not None else None
+        if plain is None or not plain[1]:
+            place = self.store.add(self.piece(before, name), self.width)
+        else:
+            word, mark = plain
+            at = known.get(word)
+            at = self.add(known, before, word) if at is None else at
+            if mark not in self.marks:
+                self.piece("", "a" + mark)
+            place = self.store.add(self.store.get(at, self.width) + self.marks[mark], self.width)
+        if len(name) <= LONGEST_KEPT:
+            known[name] = place
+        return place
+
+    def places(self, names: list[str], before: str) -> list[int]:
+        """Where the ids of each piece stand in the store."""
+        known = self.store.spaced if before else self.store.bare
+        found = list(map(known.get, names))
+        for i, place in enumerate(found):
+            if place is None:
+                found[i] = self.add(known, before, names[i])
+        return found
+
+    def odd_text(self, text: str | None) -> bytes:
+        """A text with other white space, special strings, or nothing in it."""
+        if not text:
+            return b""
+        if any(mark in text for mark in self.special):
+            return self.whole(text)
+        first, *rest = CUT.split(text)
+        return self.piece("", first) + b"".join(self.piece(" ", piece) for piece in rest)
+
+    def simple(self, texts: pa.Array) -> np.ndarray:
+        """Which texts have single spaces and line feeds only, and no special strings."""
+        odd = pc.match_substring_regex(texts, ODD_SPACE)
+        for mark in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, mark))
+        return ~np.asarray(odd) & (np.asarray(pc.binary_length(texts)) > 0)
+
+    def encode_all(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each begins (and the last ends); null is empty.
+
+        ``end_id`` is appended to each text.
+        """
+        texts = texts.cast(pa.large_string()).fill_null("")
+        simple, store = self.simple(texts), self.store
+        if len(store.lengths) > PIECES_KEPT:
+            store = self.store = Store()
+        # Cut: a piece is a word or a line feed; the first of a text and those behind a line feed have no space before.
+        cut = pc.split_pattern(pc.replace_substring(texts.filter(pa.array(simple)), "\n", " \n "), " ")
+        pieces, stops = cut.values.dictionary_encode(), np.asarray(cut.offsets)[1:].astype(np.int64)
+        codes, names = np.asarray(pieces.indices).astype(np.int64), pieces.dictionary
+        line = pc.index(names, "\n").as_py()
+        bare = np.zeros(len(codes), bool)
+        if len(codes):
+            bare[0] = True
+            bare[1:] = codes[:-1] == line
+            bare[stops[:-1]] = True
+        place = np.zeros((len(names), 2), np.int64)  # in the store, with a space before and without
+        for column, before in ((0, " "), (1, "")):
+            seen = np.zeros(len(names), bool)
+            seen[codes[bare == column]] = True
+            seen[line if line >= 0 else []] = False
+            place[seen, column] = self.places(names.filter(pa.array(seen)).to_pylist(), before)
+        if line >= 0:
+            place[line] = store.add(self.line, self.width)
+        # One row of entries per text: its pieces, or the whole of an odd text; then the end.
+        counts = np.ones(len(texts), np.int64)
+        counts[simple] = np.diff(stops, prepend=0)
+        total = counts + (end_id is not None)
+        ends = np.cumsum(total)
+        entries = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
+        inside = np.repeat(simple, total)
+        if end_id is not None:
+            entries[ends - 1] = store.add(np.array([end_id], self.dtype).tobytes(), self.width)
+            inside[ends - 1] = False
+        entries[inside] = place[codes, bare.astype(np.int64)]
+        others = np.flatnonzero(~simple)
+        entries[(ends - total)[others]] = [store.add(self.odd_text(t), self.width) for t in texts.take(pa.array(others)).to_pylist()]
+        lengths, starts = np.array(store.lengths, np.int64), np.array(store.starts, np.int64) // self.width
+        sizes = lengths[entries]
+        stop = np.cumsum(sizes)
+        at = np.repeat(starts[entries] - (stop - sizes), sizes) + np.arange(int(stop[-1]) if len(stop) else 0)
+        ids = np.frombuffer(bytes(store.ids), self.dtype)[at]
+        offsets = np.concatenate([[0], np.concatenate([[0], stop])[ends]]).astype(np.int64)
+        return ids, offsets
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        encoded = []
-        for text in texts:
-            if not text:
-                encoded.append(b"")
-                continue
-            words = text.split()
-            gaps = len(words) - 1
-            if len(text) - sum(map(len, words)) == gaps == text.count(" ") + text.count("\n"):  # no other white space
-                encoded.append(self.line.join(map(self.line_ids, text.split("\n"))))
-            else:
-                first, *rest = CUT.split(text)
-                encoded.append(self.bare[first] + b"".join(map(self.spaced.__getitem__, rest)))
-        return encoded
+        ids, offsets = self.encode_all(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
+
+
+def binary(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Runs of ids as a binary column, without a copy per row."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [
+        None, pa.py_buffer((offsets * ids.itemsize).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(ids))])
 
 
 @lru_cache(maxsize=2)
@@ -119,13 +220,13 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encode_batches(path: str, text: str, emit: Callable[[pa.Table, list[bytes], np.dtype], pa.Table],
-                   rows: int = 200) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A ``mapInArrow`` function: ``emit`` gets a slice of rows and their ids, without an end id."""
+def encode_batches(path: str, text: str, end_id: int,
+                   emit: Callable[[pa.Table, np.ndarray, np.ndarray], pa.Table]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A ``mapInArrow`` function: ``emit`` gets a slice of rows, all their ids with the end ids, and where each row's begin."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                part = pa.Table.from_batches([batch.slice(at, rows)])
-                yield from emit(part, own.encode(part.column(text).to_pylist()), own.dtype).to_batches()
+            for start, stop in slices(batch.column(batch.schema.get_field_index(text)), SLICE_BYTES):
+                part = pa.Table.from_batches([batch.slice(start, stop - start)])
+                yield from emit(part, *own.encode_all(part.column(text).combine_chunks(), end_id)).to_batches()
     return run

@@ -26,7 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from starmart.llm.common import stored
-from starmart.llm.tokens import encode_batches, encoder
+from starmart.llm.tokens import binary, encode_batches, encoder
 
 MAGIC = b"SVB1"
 HEADER = np.dtype([("magic", "S4"), ("docs", "<u4"), ("ids", "<u8")])
@@ -84,20 +84,20 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, do
     vocabulary, dtype = max(own.tokenizer.get_vocab_size(), end_id + 1), own.dtype
     schema = StructType([inner.schema["doc_id"], StructField("ids", BinaryType())])
     arrow = to_arrow_schema(schema)
-    end = np.array([end_id], dtype).tobytes()
 
-    def emit(rows, encoded, _):
-        return pa.table([rows.column("doc_id"), pa.array([b + end for b in encoded], pa.binary())], schema.names).cast(arrow)
+    def emit(rows, ids, offsets):
+        return pa.table([rows.column("doc_id"), binary(ids, offsets)], schema.names).cast(arrow)
 
-    tokens = stored(inner.mapInArrow(encode_batches(tokenizer, "text", emit), schema), "tokens")
+    tokens = stored(inner.mapInArrow(encode_batches(tokenizer, "text", end_id, emit), schema), "tokens")
 
     def count(batches):
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                total += np.bincount(np.frombuffer(ids, dtype), minlength=vocabulary) if len(ids) > 1 << 14 else 0
-                if len(ids) <= 1 << 14:
-                    np.add.at(total, np.frombuffer(ids, dtype), 1)
+            column = batch.column("ids").cast(pa.large_binary())
+            _, offsets, data = column.buffers()
+            bounds = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+            if len(column) and bounds[-1] > bounds[0]:
+                total += np.bincount(np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]].view(dtype), minlength=vocabulary)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], ["id", "n"])
 

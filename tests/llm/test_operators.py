@@ -47,9 +47,20 @@ def test_piecewise_encoding_equals_the_tokenizer(name):
     encoder = Encoder(tokenizer_path(name))
     texts = ["", " a  b", "a\n b \n\nc  ", "x \t y", "é é  <|endoftext|> a", "İstanbul ΑΣ ΑΣ. ΣΑΣ", "a b c's don't 12 34 5.6 !!! ", "\x1c a \x85 b",
              "a ́b", "x" * 500, "ÀÉ, Ÿ ß. THE ÷ a×b Ünder, don.t it.s", prose(1, 500), "end.\nNext line,*** it's\nfin", "\n", "a\n"]
-    expected = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    texts += ["a <|endoftext|> b", "<|startoftext|>x y", "<|endoftext|>", "one\ntwo, three.\nfour", "a\u00a0b c", "x \ny", "q\u3000r s"]
+    from tokenizers import Tokenizer
+    expected = Tokenizer.from_file(tokenizer_path(name)).encode_batch(texts, add_special_tokens=False)
     assert [np.frombuffer(b, encoder.dtype).tolist() for b in encoder.encode(texts)] == [e.ids for e in expected]
-    assert encoder.encode([None]) == [b""]
+    assert encoder.encode([None]) == [b""] and encoder.encode([]) == []
+    plain = Encoder(tokenizer_path(name), special=False)
+    assert len(plain.encode(["<|endoftext|>"])[0]) > plain.width
+
+
+def test_a_full_store_of_pieces_begins_anew(monkeypatch):
+    monkeypatch.setattr("starmart.llm.tokens.PIECES_KEPT", 3)
+    encoder = Encoder(tokenizer_path("byte_bpe_50k.json"))
+    for text in ["one two, three", "two three. four,", "\n", "one two, three"]:
+        assert np.frombuffer(encoder.encode([text])[0], encoder.dtype).tolist() == encoder.tokenizer.encode(text).ids
 
 
 # --- 1
