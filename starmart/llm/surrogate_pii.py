@@ -25,13 +25,13 @@ from __future__ import annotations
 import hmac
 import re
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
 from starmart.llm.common import stored
+from starmart.llm.words import slices
 
 #: Forms of address and the gender they tell (m, f, or n for either).
 TITLES = {
@@ -191,15 +191,26 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     return draw.like(value) + draw.like(("0" if kind == "ssn" else "a") * more)
 
 
+def sliced(batches, at: int):
+    """The batches in slices of about half a megabyte of text, which column ``at`` holds."""
+    for batch in batches:
+        for start, stop in slices(batch.column(at)):
+            yield batch.slice(start, stop - start)
+
+
 def surrogates(values: DataFrame, key: bytes) -> DataFrame:
     """kind, value, surrogate: distinct within a kind and none of them a value of that kind."""
-    @F.pandas_udf("string")
-    def drawn(kind: pd.Series, value: pd.Series, attempt: pd.Series) -> pd.Series:
-        return pd.Series([surrogate(key, *row) for row in zip(kind, value, attempt)], dtype=object)
+    def draw(batches):
+        for batch in batches:
+            made = [surrogate(key, *row) for row in zip(*[c.to_pylist() for c in batch.columns])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], ["kind", "value", "attempt", "surrogate"])
+
+    def drawn(rows: DataFrame) -> DataFrame:
+        return rows.select("kind", "value", "attempt").mapInArrow(draw, "kind string, value string, attempt int, surrogate string")
 
     values = stored(values.select("kind", "value").distinct(), "values")
     taken = values.select("kind", F.col("value").alias("surrogate"), F.lit(True).alias("real"))
-    table = stored(values.withColumn("attempt", F.lit(0)).withColumn("surrogate", drawn("kind", "value", "attempt")), "surrogates")
+    table = stored(drawn(values.withColumn("attempt", F.lit(0))), "surrogates")
     while True:
         # Of equal surrogates the one drawn at the earliest attempt stays, then that of the least value.
         first = Window.partitionBy("kind", "surrogate").orderBy("attempt", "value")
@@ -209,8 +220,8 @@ def surrogates(values: DataFrame, key: bytes) -> DataFrame:
         again = marked.where("clash")
         if again.isEmpty():
             return marked.select("kind", "value", "surrogate")
-        redrawn = again.withColumn("attempt", F.col("attempt") + 1).withColumn("surrogate", drawn("kind", "value", "attempt"))
-        table = stored(marked.where("not clash").drop("clash").unionByName(redrawn.drop("clash")), "surrogates")
+        redrawn = drawn(again.withColumn("attempt", F.col("attempt") + 1))
+        table = stored(marked.where("not clash").drop("clash").unionByName(redrawn), "surrogates")
 
 
 def replace(docs: DataFrame, key: bytes, text: str = "text", count: str | None = None) -> DataFrame:
@@ -220,9 +231,9 @@ def replace(docs: DataFrame, key: bytes, text: str = "text", count: str | None =
     digest = F.sha2(F.col(text), 256)
 
     def find(batches):
-        for batch in batches:
+        for part in sliced(batches, 1):
             rows = set()
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 rows.update((d, k, t[a:b]) for a, b, k in entities(t))
             rows = sorted(rows)
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], ["digest", "kind", "value"])
@@ -238,7 +249,7 @@ def replace(docs: DataFrame, key: bytes, text: str = "text", count: str | None =
     arrow = to_arrow_schema(schema)
 
     def put(batches):
-        for batch in batches:
+        for batch in sliced(batches, at):
             texts, counts = [], []
             for t, known in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
                 names = {(k["kind"], k["value"]): k["surrogate"] for k in known or ()}
