@@ -261,7 +261,11 @@ def removed_runs(text: bytes, anchors: list[dict]) -> list[tuple[int, int]]:
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept: what is left of each text (null where it is the whole text)."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, text: what is left of each text.
+
+    ``kept`` has its bytes (null where it is the whole text), ``text`` the same as a string; where a run ends inside a
+    character, the bytes left of it show as replacement characters.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.xxhash64(body).alias("key"), F.octet_length(body).cast("long").alias("size"), body.alias("text"),
                        F.col(doc_id).alias("doc_id"))
@@ -279,10 +283,9 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
               .groupBy("key", "size").agg(F.collect_list(F.struct("a", "c", "lo", "hi", "hot", "pos")).alias("wanted")))
     keys = stored(met.select("key", "size").distinct().withColumn("met", F.lit(True)), "keys")
     texts = stored(rows.join(keys.hint("merge"), ["key", "size"], "left").select(
-        "doc_id", "key", "size", F.when(F.col("met"), F.col("text")).alias("text"),
-        F.when(F.col("met").isNull(), F.sha2(F.col("text"), 256)).alias("sha"))
+        "doc_id", "key", "size", "text", "met", F.when(F.col("met").isNull(), F.sha2(F.col("text"), 256)).alias("sha"))
         .withColumn("row", F.monotonically_increasing_id()), "texts")
-    touched = texts.where("text is not null")
+    touched = texts.where("met")
     one = touched.groupBy("key", "size").agg(F.min("row").alias("row"))
     runs = stored(touched.join(one.join(wanted.hint("merge"), ["key", "size"]).select("row", "wanted").hint("merge"), "row").select("text", "wanted")
                   .mapInArrow(cut_contexts, "a long, c long, lo long, hi long, hot boolean, context binary"), "runs")
@@ -317,23 +320,24 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         F.collect_list(F.struct("pos", "lo", "hi", "marks")).alias("anchors")), "spans")
 
     schema = StructType([rows.schema["doc_id"], *[StructField(n, LongType()) for n in ("n_bytes", "n_removed", "n_spans")],
-                         StructField("kept_sha256", StringType()), StructField("kept", BinaryType())])
+                         StructField("kept_sha256", StringType()), StructField("kept", BinaryType()), StructField("text", StringType())])
     arrow = to_arrow_schema(schema)
 
     def cut(batches):
-        for batch in batches:
+        for batch in (b.slice(x, y - x) for b in batches for x, y in slices(b.column(1))):
             out = []
             for t, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 whole = t.encode()
                 spans = removed_runs(whole, found or [])
                 edges = [0, *(x for s in spans for x in s), len(whole)]
                 kept = b"".join(whole[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                out.append((len(whole), len(whole) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept if spans else None))
-            columns = [pa.array([r[k] for r in out], f.type) for k, f in zip(range(5), list(arrow)[1:])]
+                out.append((len(whole), len(whole) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(),
+                            kept if spans else None, kept.decode(errors="replace") if spans else t))
+            columns = [pa.array([r[k] for r in out], f.type) for k, f in zip(range(6), list(arrow)[1:])]
             yield from pa.Table.from_arrays([batch.column(0), *columns], names=schema.names).cast(arrow).to_batches()
 
     changed = touched.join(per_text.hint("merge"), ["key", "size"], "left").select("doc_id", "text", "anchors").mapInArrow(cut, schema)
     zero = F.lit(0).cast("long")
-    same = texts.where("text is null").select("doc_id", F.col("size").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"),
-                                              F.col("sha").alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"))
+    same = texts.where("met is null").select("doc_id", F.col("size").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"),
+                                              F.col("sha").alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"), "text")
     return changed.unionByName(same)
