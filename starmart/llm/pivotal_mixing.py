@@ -109,7 +109,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     base = stored(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
                               word_count(text).alias("size"),
                               F.sha1(F.concat_ws("|", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")),
-                                                 F.xxhash64(text).cast("string"))).alias("doc_key")), "sizes")
+                                                 F.xxhash64(text).cast("string"),
+                                                 F.monotonically_increasing_id().cast("string"))).alias("doc_key")), "sizes")
     per_source = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     targets = source_targets(per_source.select("source", "source_size"), weights, max_repeat)
     blocks = max(1, -(-base.count() // block_rows))

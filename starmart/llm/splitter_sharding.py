@@ -36,8 +36,8 @@ def in_range(splitters: np.ndarray):
 
 
 def draw(rows: DataFrame, sample: int, total: int, seed: int) -> np.ndarray:
-    """Keys of about ``sample`` rows, drawn with chances proportional to size by a hash of the row; sorted."""
-    chance = F.pmod(F.xxhash64("doc_id", "key", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+    """Keys of about ``sample`` rows, drawn with chances proportional to size by a hash of the row's number; sorted."""
+    chance = F.pmod(F.xxhash64("row", "key", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
     taken = rows.where(chance * total < F.col("size") * sample).select("key")
     return np.sort(np.array([r["key"] for r in taken.collect()], dtype=np.int64))
 
@@ -73,7 +73,8 @@ def shard(docs: DataFrame, n_shards: int = 40, doc_id: str = "doc_id", text: str
     body = F.coalesce(F.col(text), F.lit(""))
     rows = stored(docs.select(
         F.col(doc_id).alias("doc_id"), (F.octet_length(body) + overhead).cast("long").alias("size"),
-        F.crc32(body.cast("binary")).alias("text_crc32"), F.xxhash64(body).alias("key")), "shard")
+        F.crc32(body.cast("binary")).alias("text_crc32"), F.xxhash64(body).alias("key"),
+        F.monotonically_increasing_id().alias("row")), "shard")  # stored, so that a retried task sees the same numbers
     total = int(rows.agg(F.sum("size")).first()[0] or 0)
     n_ranges = n_shards * ranges_per_shard
     limit = max(1.0, 2.0 * total / n_ranges)
@@ -95,7 +96,7 @@ def shard(docs: DataFrame, n_shards: int = 40, doc_id: str = "doc_id", text: str
     cuts = rows.sparkSession.createDataFrame(list(heavy.items()), "range int, cuts int")  # at most one row per range
     pieces = ranges.join(F.broadcast(cuts), "range", "left").withColumn(
         "piece", F.when(F.col("cuts").isNull(), 0).otherwise(
-            F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("cuts"))).cast("int"))
+            F.pmod(F.xxhash64("row", F.lit(seed)), F.col("cuts"))).cast("int"))
     counts = pieces.groupBy("range", "piece").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).toPandas()
     counts = counts.sort_values(["range", "piece"]).reset_index(drop=True)
     placed = assign(counts, n_shards)
@@ -104,7 +105,7 @@ def shard(docs: DataFrame, n_shards: int = 40, doc_id: str = "doc_id", text: str
     layout = rows.sparkSession.createDataFrame(
         [(int(r.range), int(r.piece), int(r.shard), int(r.start)) for r in counts.itertuples()],
         "range int, piece int, shard int, start long")
-    order = Window.partitionBy("range", "piece").orderBy("key", "doc_id")
+    order = Window.partitionBy("range", "piece").orderBy("key", "doc_id", "row")
     return (pieces.withColumn("__n", F.row_number().over(order)).join(F.broadcast(layout), ["range", "piece"])
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                     (F.col("start") + F.col("__n") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard")))

@@ -469,6 +469,23 @@ def test_surrogates_of_digits_beyond_ascii(make):
     assert one.n_replaced == 1 and number not in one.text
 
 
+def test_equal_rows_without_ids_spread_evenly(spark):
+    """200,000 equal rows with null ids: shards, sampled keys and blocks of the mix hold their even share."""
+    docs = spark.range(200_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same text").alias("text"), F.lit("s").alias("source"))
+    sizes = splitter_sharding.shard(docs).groupBy("shard").agg(F.sum("size").alias("n"), F.count("*").alias("rows"), F.max("slot").alias("last")).collect()
+    total = sum(r.n for r in sizes)
+    assert len(sizes) == 40 and max(r.n for r in sizes) < 1.1 * total / 40 and all(r.last == r.rows - 1 for r in sizes)
+    rows = docs.select("doc_id", F.lit(29).alias("size"), F.lit(7).alias("key"), F.monotonically_increasing_id().alias("row"))
+    assert len(splitter_sharding.draw(rows, 4000, 200_000 * 29, 23)) < 6000
+
+
+def test_remaining_text_of_removed_repeats(make):
+    shared = "".join(chr(97 + i * i % 23) for i in range(700))
+    rows = {r.doc_id: r for r in bwt_dedup.dedup(make([(1, "é head " + shared + " tail", "s"), (2, shared, "s"), (3, "alone", "s"), (4, None, "s")])).collect()}
+    assert rows[1].text.startswith("é head") and rows[1].text.endswith("tail") and len(rows[1].text) < 40
+    assert rows[2].text == "" and rows[3].text == "alone" and rows[4].text == ""
+
+
 # --- registered queries
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
