@@ -387,6 +387,26 @@ QUERIES = {
         from engagement left join tip_count using (user_id, business_id)
         left join checkin_count using (business_id)""",
     "engagement_fk_filter": "select review_id, user_id, business_id, date_id from engagement",
+    "refreshed_monthly_fact": """
+        select business_id, month_id, review_count, checkin_count, tip_count, photo_count,
+               cast(engagement_score as double) as engagement_score, round(growth_rate, 6) as growth_rate
+        from month_growth""",
+    "refreshed_operational_fact": """
+        select date_id, business_id, daily_reviews, round(avg_daily_rating, 6) as avg_daily_rating,
+               daily_checkins, round(sentiment_score_avg, 6) as sentiment_score_avg
+        from operations""",
+    "registered_business_keys": """
+        select row_number() over (order by md5(business_id), business_id) as business_key, business_id
+        from business where cast(business_id as integer) % 10 <> 0
+        union all
+        select (select count(*) from business where cast(business_id as integer) % 10 <> 0)
+               + row_number() over (order by md5(business_id), business_id), business_id
+        from business where cast(business_id as integer) % 10 = 0 and cast(business_id as integer) % 7 <> 0""",
+    "distinct_businesses_by_quarter": """
+        select year || 'Q' || cast(ceil(month / 3.0) as integer) as period, count(distinct business_id) as num_businesses
+        from month_base group by 1""",
+    "streamed_daily_counts": """
+        select business_id, date, review_count, round(average_stars, 6) as average_stars, checkin_count from day_fact""",
     "manager_kpis": "select * from q_manager_kpis",
     "kpis_one_business": f"""
         select count(distinct business_id) as num_businesses, cast(sum(daily_reviews) as bigint) as total_reviews,

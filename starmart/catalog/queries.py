@@ -15,13 +15,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart import schemas
 from starmart.functions import dates as D, measures
-from starmart.operators import bridges, dimensions as dims, events, facts, series
-from starmart.plans import dashboards as dash
+from starmart.operators import bridges, dimensions as dims, distinct, events, facts, series
+from starmart.operators.keys import dense_key, extend_keys
+from starmart.plans import dashboards as dash, refresh
 from starmart.plans.star_schema import build_star_schema, remove, row_counts
 from starmart.session import shared_dir
 from starmart.sinks.results import payload
 from starmart.sinks.tables import write_table
+from starmart.sinks.versions import Warehouse
 from starmart.sources import json_lines, samples
+from starmart.streaming import daily_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -427,6 +430,75 @@ def engagement_fk_filter(spark, sf_dir):
     return Model(spark, sf_dir).engagement.select("review_id", "user_id", "business_id", "date_id")
 
 
+def refreshed(spark, sf_dir, name: str) -> DataFrame:
+    """A fact built from most events and refreshed with the rest: the last months, and a few days in the middle."""
+    m = Model(spark, sf_dir)
+    root = scratch(spark)
+    parts = {}
+    for source in ("review", "checkin", "tip"):
+        frame, day = getattr(m, source), F.substring("date", 1, 10)
+        later = F.coalesce((day >= "1998-06-01") | day.between("1995-03-30", "1995-04-02"), F.lit(False))
+        parts[source] = {"first": frame.where(~later), "later": frame.where(later)}
+    refresh.build(spark, {"business": m.business, **{s: p["first"] for s, p in parts.items()}}, root, score_col="score")
+    refresh.add_events(spark, root, m.business, **{s: p["later"] for s, p in parts.items()}, score_col="score")
+    return rounded(refresh.read(Warehouse(spark, root), name))
+
+
+@query
+def refreshed_monthly_fact(spark, sf_dir):
+    return refreshed(spark, sf_dir, refresh.MONTHLY)
+
+
+@query
+def refreshed_operational_fact(spark, sf_dir):
+    return refreshed(spark, sf_dir, refresh.DAILY)
+
+
+@query
+def registered_business_keys(spark, sf_dir):
+    """Business keys after a second build: businesses of the first keep theirs, new ones follow; one that is gone stays."""
+    business = Model(spark, sf_dir).business.select("business_id")
+    number = F.col("business_id").cast("int")
+    path = scratch(spark)
+    first = extend_keys(None, business.where(number % 10 != 0), "business_key", ["business_id"])
+    write_table(first, path)
+    return extend_keys(spark.read.parquet(path), business.where(number % 7 != 0), "business_key", ["business_id"])
+
+
+@query
+def distinct_businesses_by_quarter(spark, sf_dir):
+    """Businesses with any event per quarter, from stored bitmaps of the months."""
+    monthly = Model(spark, sf_dir).monthly_fact
+    keys = dense_key(monthly.select("business_id").distinct().na.drop(), "business_key", ["business_id"])
+    path = scratch(spark)
+    write_table(distinct.monthly_bitmaps(monthly, keys), path)
+    month = F.substring("month_id", 5, 2).cast("int")
+    quarter = F.concat(F.substring("month_id", 1, 4), F.lit("Q"), F.ceil(month / 3).cast("string"))
+    return distinct.distinct_by(spark.read.parquet(path), quarter)
+
+
+@query
+def streamed_daily_counts(spark, sf_dir):
+    """Daily counts from a stream over three deliveries of the events, each with some late ones of the one before."""
+    m = Model(spark, sf_dir)
+    times = m.checkin.select("business_id", F.explode(F.split("date", ", ")).alias("time"))
+    rows = daily_counts.event_rows(m.review, times)
+    year, day = F.substring("time", 1, 4).cast("int"), F.substring("time", 6, 5)
+    delivery = F.when(year < 1994, 0).when(year < 1997, 1).otherwise(2)
+    # The last days of a delivery's period: every third event comes with the next one.
+    late = year.isin(1993, 1996) & (day >= "12-20") & (F.pmod(F.xxhash64("business_id", "time", "event_id"), F.lit(3)) == 0)
+    rows = rows.withColumn("delivery", delivery + late.cast("int"))
+    root = scratch(spark)
+    write_table(rows, f"{root}/all")
+    stored = spark.read.schema(rows.schema).parquet(f"{root}/all")
+    for n in range(3):
+        stored.where(F.col("delivery") == n).drop("delivery").write.mode("append").parquet(f"{root}/events")
+        daily_counts.run(daily_counts.read_events(spark, f"{root}/events"), f"{root}/days", f"{root}/checkpoint", "30 days")
+    counted = daily_counts.current(spark, f"{root}/days")
+    return rounded(counted.select("business_id", "date", "review_count", measures.mean("star_sum", "star_count").alias("average_stars"),
+                                  "checkin_count"))
+
+
 # ---- operations dashboard ----
 
 

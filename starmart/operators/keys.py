@@ -51,6 +51,23 @@ def dense_key(rows: DataFrame, key: str, natural_key: list[str]) -> DataFrame:
     return numbered.select(key, *rows.columns)
 
 
+def extend_keys(registry: DataFrame | None, rows: DataFrame, key: str, natural_key: list[str]) -> DataFrame:
+    """The registry (``key``, ``natural_key``) with every natural key of ``rows``.
+
+    A key once given stays: natural keys that are no longer in ``rows`` keep theirs, and new ones are numbered from the
+    greatest key on, in digest order. So keys are the same in every later build, unique, and dense from 1. Missing parts of
+    a natural key compare equal. Store the result before the next build reads it.
+    """
+    found = rows.select(*natural_key).distinct()
+    if registry is None:
+        return dense_key(found, key, natural_key)
+    known = registry.select(*[F.col(c).alias(f"_known_{c}") for c in natural_key])
+    same = [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in natural_key]
+    fresh = dense_key(found.join(known, same, "left_anti"), key, natural_key)
+    last = registry.agg(F.max(key)).first()[0] or 0
+    return registry.select(key, *natural_key).unionByName(fresh.withColumn(key, F.col(key) + F.lit(last)))
+
+
 def duplicate_keys(table: DataFrame, key: list[str]) -> DataFrame:
     """Keys held by more than one row; empty for a sound dimension."""
     return table.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
