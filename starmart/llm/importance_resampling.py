@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
@@ -112,7 +112,8 @@ class Resampler:
         # Odd picks fit the target model, even ones set the cut.
         self.labels = {r["id"]: (r["quality"] > 0, r["pick"] % 2 != 0) for r in known.orderBy("pick", "id").limit(max_labels).collect()}
         self.ratios = log_ratios(self.count(docs).collect(), buckets)
-        self.scored = stored(self.score(docs).select(F.col(doc_id).alias("id"), "__score", "__key"), "scores", "snappy")
+        self.scored = stored(self.score(docs.select(F.col(doc_id), F.col(text))).select(
+            F.col(doc_id).alias("id"), "__draw", "__score", "__key"), "scores", "snappy")
         held = {i for i, (_, fits) in self.labels.items() if not fits}
         ids = docs.sparkSession.createDataFrame([(i,) for i in held], StructType([StructField("id", docs.schema[doc_id].dataType)]))
         seen = self.scored.join(F.broadcast(ids), "id", "left_semi").groupBy("id").agg(F.min("__score").alias("s")).collect()
@@ -138,11 +139,15 @@ class Resampler:
         parts = docs.select(self.doc_id, self.text).mapInArrow(run, "bucket long, raw long, target long")
         return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
+    def draw(self) -> Column:
+        """The number that decides a document's noise: the same for rows of one id and text."""
+        return F.xxhash64(F.col(self.doc_id), F.col(self.text), F.lit(self.seed))
+
     def score(self, docs: DataFrame) -> DataFrame:
-        """``docs`` with ``__score`` (log ratio per n-gram) and ``__key`` (log weight and noise)."""
+        """``docs`` with ``__draw``, ``__score`` (log ratio per n-gram) and ``__key`` (log weight and noise)."""
         ratios, buckets, length, at = self.ratios, self.buckets, self.length, docs.columns.index(self.text)
-        drawn = docs.withColumn("__draw", F.xxhash64(F.col(self.doc_id), F.col(self.text), F.lit(self.seed)))
-        schema = StructType([*docs.schema.fields, StructField("__score", DoubleType()), StructField("__key", DoubleType())])
+        drawn = docs.withColumn("__draw", self.draw())
+        schema = StructType([*docs.schema.fields, StructField("__draw", LongType()), StructField("__score", DoubleType()), StructField("__key", DoubleType())])
         arrow = to_arrow_schema(schema)
 
         def run(batches):
@@ -156,10 +161,17 @@ class Resampler:
                 draw = mix64(batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).view(np.uint64))
                 uniform = ((draw >> np.uint64(12)).astype(float) + 0.5) / 2.0 ** 52
                 key = length * score - np.log(-np.log(uniform))
-                yield from pa.Table.from_arrays([*batch.columns[:-1], pa.array(score), pa.array(key)], schema=arrow).to_batches()
+                yield from pa.Table.from_arrays([*batch.columns, pa.array(score), pa.array(key)], schema=arrow).to_batches()
         return drawn.mapInArrow(run, schema)
 
     def sample(self, docs: DataFrame) -> DataFrame:
         """The documents drawn, with ``__score`` and ``__key``."""
-        scored = self.score(docs)
+        scored = self.score(docs).drop("__draw")
         return scored if self.threshold is None else scored.where(F.col("__key") >= self.threshold)
+
+    def taken(self, docs: DataFrame) -> DataFrame:
+        """As ``sample``, for documents that were fitted on: found again by id and draw, no text leaves the JVM."""
+        kept = self.scored if self.threshold is None else self.scored.where(F.col("__key") >= self.threshold)
+        kept = kept.select(F.col("id").alias("__id"), "__draw").distinct()
+        given = docs.withColumn("__draw", self.draw())
+        return given.join(kept, F.col(self.doc_id).eqNullSafe(F.col("__id")) & (given["__draw"] == kept["__draw"]), "left_semi").drop("__draw")

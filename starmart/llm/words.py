@@ -28,7 +28,9 @@ def power(base: int, n: int) -> np.ndarray:
     if have is None or len(have) < n:
         have = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
         have[0] = 1
-        powers[base] = have = np.cumprod(have, dtype=np.uint64)
+        have = np.cumprod(have, dtype=np.uint64)
+        if n <= 2 * SLICE_BYTES:  # what a very long text needs is not kept
+            powers[base] = have
     return have[:n]
 
 

@@ -330,13 +330,15 @@ def test_resampling_separates_held_out_labels(spark, sf_dir):
 def test_resampling_of_odd_rows(spark, make, odd):
     none = spark.createDataFrame([], "doc_id long, quality int")
     kept = importance_resampling.Resampler(make(odd), none)
-    assert kept.sample(make(odd)).count() == len(odd)
+    assert kept.sample(make(odd)).count() == kept.taken(make(odd)).count() == len(odd)
     some = spark.createDataFrame([(1, 1), (6, 1), (8, 1), (14, 0), (12, 0), (None, 1), (99, 1), (10, None)], "doc_id long, quality int")
     fitted = importance_resampling.Resampler(make(odd), some)
     result = fitted.sample(make(odd)).collect()
     assert result == fitted.sample(make(odd)).collect() and len(result) <= len(odd)
     assert all(np.isfinite(r["__score"]) for r in result)
     assert importance_resampling.Resampler(make([]), some).sample(make([])).count() == 0
+    drawn, taken = (Counter((r.doc_id, r.text, r.source) for r in f(make(odd)).collect()) for f in (fitted.sample, fitted.taken))
+    assert drawn == taken
 
 
 def test_kth_largest(spark):
