@@ -28,7 +28,7 @@ def row_key(docs: DataFrame) -> Column:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling draws as good; the rest go."""
-    return importance_resampling.Resampler(docs, table(spark, sf_dir, "labels")).sample(docs).select(*docs.columns)
+    return importance_resampling.Resampler(docs, table(spark, sf_dir, "labels")).taken(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
