@@ -415,6 +415,7 @@ QUERIES = {
         from operations
         where business_id = (select business_id from operations group by business_id
                              order by sum(daily_reviews) desc, business_id limit 1)""",
+    "sql_top_categories": "select * from q_categories",
     "weekly_performance": "select * from q_weekly",
     "users_by_review_bucket": "select * from q_groups",
     "performance_by_day": "select * from q_weekday",
@@ -439,6 +440,9 @@ QUERIES = {
 }
 
 
+QUERIES["sql_kpis_one_business"] = QUERIES["kpis_one_business"]
+
+
 def _needs(sql: str) -> list[str]:
     return [name for name in CTES if re.search(rf"\b{name}\b", sql)]
 

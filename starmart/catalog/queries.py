@@ -17,7 +17,7 @@ from starmart import schemas
 from starmart.functions import dates as D, measures
 from starmart.operators import bridges, dimensions as dims, distinct, events, facts, series
 from starmart.operators.keys import dense_key, extend_keys
-from starmart.plans import dashboards as dash, refresh
+from starmart.plans import dashboards as dash, refresh, sql_functions
 from starmart.plans.star_schema import build_star_schema, remove, row_counts
 from starmart.session import shared_dir
 from starmart.sinks.results import payload
@@ -585,6 +585,26 @@ def top_subcategories(spark, sf_dir):
     return rounded(dash.top_subcategories(m.monthly_fact, m.dim_business))
 
 
+# ---- the same in SQL ----
+
+
+@query
+def sql_kpis_one_business(spark, sf_dir):
+    """The KPIs of the business with the most reviews, by a table function with a bound parameter."""
+    operations = Model(spark, sf_dir).operations
+    busiest = (operations.groupBy("business_id").agg(F.sum("daily_reviews").alias("n"))
+               .orderBy(F.desc("n"), "business_id").first()["business_id"])
+    sql_functions.register(spark, {"operations/Fact_Operational_Performance": operations})
+    return rounded(spark.sql("select * from manager_kpis(business => :business)", args={"business": busiest}))
+
+
+@query
+def sql_top_categories(spark, sf_dir):
+    m = Model(spark, sf_dir)
+    sql_functions.register(spark, {"marketing/FactCustomerEngagement": m.engagement, "marketing/DimBusiness": m.profile})
+    return spark.sql("select * from top_categories(k => 10)")
+
+
 # ---- chart series ----
 
 
