@@ -415,6 +415,11 @@ QUERIES = {
         from operations
         where business_id = (select business_id from operations group by business_id
                              order by sum(daily_reviews) desc, business_id limit 1)""",
+    "top_subcategories_bucketed": "select * from q_subcategories",
+    "days_of_a_winter": f"""
+        select date, cast(sum(daily_reviews) as bigint) as reviews, cast(sum(daily_checkins) as bigint) as checkins,
+               {average('avg_daily_rating')} as avg_rating
+        from operations where date between date '1995-12-01' and date '1996-02-29' group by date""",
     "sql_top_categories": "select * from q_categories",
     "weekly_performance": "select * from q_weekly",
     "users_by_review_bucket": "select * from q_groups",

@@ -21,7 +21,7 @@ from starmart.plans import dashboards as dash, refresh, sql_functions
 from starmart.plans.star_schema import build_star_schema, remove, row_counts
 from starmart.session import shared_dir
 from starmart.sinks.results import payload
-from starmart.sinks.tables import write_table
+from starmart.sinks.tables import write_bucketed, write_by_year, write_table
 from starmart.sinks.versions import Warehouse
 from starmart.sources import json_lines, samples
 from starmart.streaming import daily_counts
@@ -585,6 +585,29 @@ def top_subcategories(spark, sf_dir):
     return rounded(dash.top_subcategories(m.monthly_fact, m.dim_business))
 
 
+# ---- on other layouts ----
+
+
+@query
+def top_subcategories_bucketed(spark, sf_dir):
+    """From a fact and a dimension bucketed by business: grouped and joined without an exchange of the fact."""
+    m = Model(spark, sf_dir)
+    root, tag = scratch(spark), uuid.uuid4().hex[:8]
+    monthly = write_bucketed(m.monthly_fact, f"monthly_{tag}", f"{root}/monthly", buckets=16)
+    labels = write_bucketed(m.dim_business, f"business_{tag}", f"{root}/business", buckets=16)
+    return rounded(dash.top_subcategories(monthly, labels))
+
+
+@query
+def days_of_a_winter(spark, sf_dir):
+    """Daily totals around a turn of the year, from a fact stored by year."""
+    m = Model(spark, sf_dir)
+    root = scratch(spark)
+    fact = write_by_year(m.operations, f"{root}/fact")
+    write_table(m.operations_days, f"{root}/days")
+    return rounded(dash.days_between(fact, spark.read.parquet(f"{root}/days"), "1995-12-01", "1996-02-29"))
+
+
 # ---- the same in SQL ----
 
 

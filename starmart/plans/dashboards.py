@@ -52,6 +52,18 @@ def _operations_measures() -> list[Column]:
     ]
 
 
+def days_between(operations: DataFrame, dim_date: DataFrame, first: str, last: str) -> DataFrame:
+    """Totals per calendar day from ``first`` to ``last`` (ISO dates), for facts stored by year.
+
+    The calendar is joined on the year as well, so that a fact in folders by year is read for the years that hold such days.
+    """
+    days = dim_date.where(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))).withColumn("year", F.year("date"))
+    daily = operations.join(F.broadcast(days.select("date_id", "year", "date")), ["date_id", "year"])  # a row per calendar day
+    return daily.groupBy("date").agg(
+        F.sum("daily_reviews").alias("reviews"), F.sum("daily_checkins").alias("checkins"),
+        exact_mean("avg_daily_rating").alias("avg_rating")).orderBy("date")
+
+
 def weekly_performance(
     operations: DataFrame, dim_date: DataFrame, business_id: str | Column | None = None
 ) -> DataFrame:
