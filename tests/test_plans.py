@@ -45,7 +45,7 @@ def test_monthly_fact_shuffles_once_per_key(plans):
 def test_unpartitioned_windows_only_over_bounded_rows(plans):
     """A window in a single task is allowed over bucket sizes and finished results only."""
     bounded = {"dim_location_keys", "dim_category", "dim_category_keys", "dim_business_location", "category_bridge",
-               "category_bridge_keys", "daily_fact", "dashboard_payload", "user_bucket_share"}
+               "category_bridge_keys", "daily_fact", "dashboard_payload", "registered_business_keys", "user_bucket_share"}
     single_task = re.compile(r"Window \[.*\n.*Sort \[.*\n.*Exchange SinglePartition|Window \[.*\n.*Exchange SinglePartition")
     assert {name for name, plan in plans.items() if single_task.search(plan)} <= bounded
 
