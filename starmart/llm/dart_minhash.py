@@ -14,7 +14,8 @@ copies. First every set is compared with the centre of each of its buckets only,
 whose sets are then still in several components are taken up again: small ones compare all pairs of different
 components, large ones compare with a centre outside the first component. The sets of large buckets that are still in
 several components after that are joined exactly, so every pair that shares a bucket is either in one component or
-compared. Pairs are decided by their exact similarity; a class is a connected component.
+compared. Pairs are decided by the similarity of
+their shingles' hashes, 32 bits each; a class is a connected component.
 
 The exact join orders each set's shingles from rare to common. The first shingle that two similar sets share lies among
 the first ``(1 - t) n + 1`` of the larger set and the first ``(1 - t) / (1 + t) n + 1`` of the smaller, so only sets that
@@ -51,6 +52,7 @@ SMALL = 16
 CHUNK = 64
 CELLS = 1 << 18
 BLOCK = 256
+TOGETHER = 128
 
 POISSON = np.cumsum([np.exp(-1.0) / np.prod(np.arange(1, n + 1, dtype=float)) for n in range(16)])
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -84,7 +86,21 @@ def darts(elements: np.ndarray, weights: np.ndarray, owner: np.ndarray, limits:
 
 
 def signatures(elements: np.ndarray, weights: np.ndarray, counts: np.ndarray, k: int = DARTS) -> np.ndarray:
-    """One row of ``k`` dart hashes per set; ``counts`` gives the number of elements of each set, none empty."""
+    """One row of ``k`` dart hashes per set; ``counts`` gives the number of elements of each set, none empty.
+
+    However short, a set throws about ``k * ln(k)`` darts, so sets are taken ``TOGETHER`` at a time.
+    """
+    ends = np.cumsum(counts)
+    made = [np.zeros((0, k), np.uint64)]
+    for i in range(0, len(counts), TOGETHER):
+        some = counts[i:i + TOGETHER]
+        part = slice(int(ends[i] - counts[i]), int(ends[i + len(some) - 1]))
+        made.append(earliest(elements[part], weights[part], some, k))
+    return np.concatenate(made)
+
+
+def earliest(elements: np.ndarray, weights: np.ndarray, counts: np.ndarray, k: int) -> np.ndarray:
+    """``signatures`` of a few sets, all darts of which are held at once."""
     sets = len(counts)
     owner = np.repeat(np.arange(sets), counts)
     total = np.bincount(owner, weights, minlength=sets)
@@ -118,41 +134,59 @@ def weighted(texts: pa.Array, size: int, by_count: bool) -> tuple[np.ndarray, np
     return made[at], weights, np.bincount(owner[at], minlength=len(counts))
 
 
-def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS, by_count: bool = False) -> DataFrame:
-    """doc_id, key (digest of the set, null without words), bands, shingles (32 bits each) and their weights if counted."""
+def digests(made: np.ndarray, weights: np.ndarray, counts: np.ndarray, by_count: bool) -> list[bytes | None]:
+    """128 bits that name each set; null for the empty one."""
+    ends = np.cumsum(counts)
+    data, heavy = made.tobytes(), weights.astype("<u4").tobytes() if by_count else b""
+    return [hashlib.blake2b(data[8 * (e - n):8 * e] + heavy[4 * (e - n):4 * e], digest_size=16).digest() if n else None
+            for e, n in zip(ends.tolist(), counts.tolist())]
+
+
+def set_keys(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS, by_count: bool = False) -> DataFrame:
+    """doc_id, key: the digest of each document's set, null without words."""
     inner = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    schema = StructType([inner.schema["doc_id"], StructField("key", BinaryType()), StructField("bands", ArrayType(LongType())),
-                         StructField("shingles", BinaryType()), StructField("weights", BinaryType())])
+    schema = StructType([inner.schema["doc_id"], StructField("key", BinaryType())])
     arrow = to_arrow_schema(schema)
-    salt = mix64(np.arange(BANDS, dtype=np.uint64) + np.uint64(77))
 
     def run(batches):
         for batch in batches:
             for a, b in slices(batch.column(1)):
-                made, weights, counts = weighted(batch.column(1).slice(a, b - a), size, by_count)
-                full = np.flatnonzero(counts)
-                sig = signatures(made, weights, counts[full])
-                band = np.tile(salt, (len(full), 1))
+                keys = digests(*weighted(batch.column(1).slice(a, b - a), size, by_count), by_count)
+                yield from pa.table([batch.column(0).slice(a, b - a), pa.array(keys, pa.binary())], schema.names).cast(arrow).to_batches()
+    return inner.mapInArrow(run, schema)
+
+
+def sketch(docs: DataFrame, text: str = "text", size: int = WORDS, by_count: bool = False) -> DataFrame:
+    """key, bands, shingles (32 bits each) and their weights if counted: one row for each text that has words."""
+    inner = docs.select(F.col(text).alias("text"))
+    schema = StructType([StructField("key", BinaryType()), StructField("bands", ArrayType(LongType())),
+                         StructField("shingles", BinaryType()), StructField("weights", BinaryType())])
+    salt = mix64(np.arange(BANDS, dtype=np.uint64) + np.uint64(77))
+
+    def run(batches):
+        for batch in batches:
+            for a, b in slices(batch.column(0)):
+                made, weights, counts = weighted(batch.column(0).slice(a, b - a), size, by_count)
+                keys = [key for key in digests(made, weights, counts, by_count) if key]
+                counts = counts[counts > 0]
+                sig = signatures(made, weights, counts)
+                band = np.tile(salt, (len(counts), 1))
                 for row in range(ROWS):
                     band = mix64(band * ODD + sig.reshape(-1, BANDS, ROWS)[:, :, row])
-                keys, bands, sets, heavy = [None] * (b - a), [None] * (b - a), [None] * (b - a), [None] * (b - a)
-                ends = np.cumsum(counts)
-                for n, i in enumerate(full):
-                    part = slice(ends[i] - counts[i], ends[i])
-                    w = weights[part].astype("<u4").tobytes() if by_count else b""
-                    keys[i] = hashlib.blake2b(made[part].tobytes() + w, digest_size=16).digest()
-                    bands[i], heavy[i] = band[n].view(np.int64), w
-                    sets[i] = (made[part] >> np.uint64(32)).astype("<u4").tobytes()
-                yield from pa.table([batch.column(0).slice(a, b - a), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
-                                     pa.array(sets, pa.binary()), pa.array(heavy, pa.binary())], schema.names).cast(arrow).to_batches()
+                data, heavy = (made >> np.uint64(32)).astype("<u4").tobytes(), weights.astype("<u4").tobytes() if by_count else b""
+                parts = [slice(4 * (e - n), 4 * e) for e, n in zip(np.cumsum(counts).tolist(), counts.tolist())]
+                bands = pa.ListArray.from_arrays(np.arange(len(counts) + 1, dtype=np.int32) * BANDS, pa.array(band.view(np.int64).ravel()))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(keys, pa.binary()), bands, pa.array([data[p] for p in parts], pa.binary()),
+                    pa.array([heavy[p] for p in parts], pa.binary())], schema.names)
     return inner.mapInArrow(run, schema)
 
 
-def jaccard(a: bytes, b: bytes, wa: bytes = b"", wb: bytes = b"") -> float:
-    """Similarity of two sorted sets; with weights, shared minima over maxima."""
+def jaccard(a: bytes, b: bytes, wa: bytes = b"", wb: bytes = b"", least: float = 0.0) -> float:
+    """Similarity of two sorted sets; with weights, shared minima over maxima. 0 where sizes alone keep it below ``least``."""
     x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
     if not wa:
-        if min(len(x), len(y)) < SIMILAR * 0.5 * max(len(x), len(y)):
+        if min(len(x), len(y)) < least * max(len(x), len(y)):
             return 0.0
         both = len(np.intersect1d(x, y))
         return both / (len(x) + len(y) - both)
@@ -174,12 +208,12 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
 
     def run(batches):
         centre, own, weight = None, b"", b""
-        for batch in batches:
+        for batch in (b.slice(i, j - i) for b in batches for i, j in slices(b.column(4))):
             links = []
             for a, kind, b, s, w in zip(*(batch.column(c).to_pylist() for c in ("a", "kind", "b", "shingles", "weights"))):
                 if kind == 0:
                     centre, own, weight = a, s, w
-                elif a == centre and jaccard(own, s, weight, w) >= similar:
+                elif a == centre and jaccard(own, s, weight, w, similar) >= similar:
                     links.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.binary()) for i in (0, 1)], ["a", "b"])
     return rows.mapInArrow(run, "a binary, b binary")
@@ -269,17 +303,17 @@ def close_pairs(sets: DataFrame, similar: float) -> DataFrame:
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR, size: int = WORDS,
             by_count: bool = False) -> DataFrame:
     """doc_id, class_id, copies of the class, and a flag on the one document of each class to keep."""
-    sketches = stored(sketch(docs, doc_id, text, size, by_count).withColumn("row", F.monotonically_increasing_id()), "darts")
-    full = sketches.where("key is not null")
-    keys = stored(full.groupBy("key").agg(F.any_value("bands").alias("bands")), "keys")
+    names = stored(set_keys(docs, doc_id, text, size, by_count).withColumn("row", F.monotonically_increasing_id()), "names")
+    # One grouping on the sets' keys, combined before the shuffle: copies of a text never travel with their shingles.
+    keys = stored(sketch(docs, text, size, by_count).groupBy("key").agg(
+        *[F.any_value(c).alias(c) for c in ("bands", "shingles", "weights")]), "keys")
     members = keys.select("key", F.explode("bands").alias("band"))
     sizes = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(members.join(sizes, "band"), "members")
     # The set that shares buckets with most others is the likeliest to be near all of them: the text others were made from.
     central = members.groupBy("key").agg(F.sum("size").alias("reach"))
     members = stored(members.join(central, "key"), "buckets")
-    sets = stored(full.join(members.select("key").distinct(), "key", "left_semi").select("key", "shingles", "weights")
-                  .groupBy("key").agg(F.any_value("shingles").alias("shingles"), F.any_value("weights").alias("weights")), "sets")
+    sets = keys.select("key", "shingles", "weights")
     links, label, tried = None, None, None
     for turn in ("centres", "open", "exact"):
         if label is None:
@@ -329,7 +363,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
             label = components(links)
     if label is None:
         label = links.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    spread = sketches.select("doc_id", "row", "key").join(label, F.col("key") == F.col("node"), "left")
+    spread = names.join(label, F.col("key") == F.col("node"), "left")
     own = F.concat(F.lit("row"), F.col("row").cast("string")).cast("binary")
     group = stored(spread.select("doc_id", "row", F.coalesce("label", "key", own).alias("group")), "groups")
     least = group.groupBy("group").agg(

@@ -55,25 +55,45 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def words(texts: pa.Array, punctuation: bool = False, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts in order, and the number of words of each text.
 
-    Words lie between ASCII white space; with ``punctuation`` they also end where letters meet other signs.
+    Words lie between ASCII white space; with ``punctuation`` they also end where letters meet other signs. A long text
+    is hashed in parts that end at white space, so what is held beside the hashes is bounded but for endless words.
     """
     data, at = raw(texts)
     counts = np.zeros(len(at) - 1, np.int64)
-    if not len(data):
-        return np.zeros(0, np.uint64), counts
+    made, start = [np.zeros(0, np.uint64)], 0
+    while start < len(data):
+        stop = part_end(data, start + SLICE_BYTES)
+        hashes, places = words_of(data[start:stop], at[(at >= start) & (at < stop)] - start, punctuation, lower)
+        doc = np.searchsorted(at, places + start, side="right") - 1
+        counts += np.bincount(doc, minlength=len(counts))
+        made.append(hashes)
+        start = stop
+    return np.concatenate(made), counts
+
+
+def part_end(data: np.ndarray, least: int) -> int:
+    """The first place from ``least`` on that white space starts, or the end; looked for in steps."""
+    while least < len(data):
+        found = np.flatnonzero(SPACE[data[least:least + 4096]])
+        if len(found):
+            return least + int(found[0])
+        least += 4096
+    return len(data)
+
+
+def words_of(data: np.ndarray, at: np.ndarray, punctuation: bool, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words in ``data`` and where they start; texts start at ``at``."""
     kind = np.where(SPACE[data], 0, 1 + (LETTER[data] if punctuation else 0)).astype(np.int8)
     fresh = np.empty(len(data), bool)  # the byte's kind differs from the one before, or a text starts
     fresh[0], fresh[1:] = True, kind[1:] != kind[:-1]
-    fresh[at[:-1][at[:-1] < at[1:]]] = True
+    fresh[at] = True
     edges = np.append(np.flatnonzero(fresh), len(data))
     real = kind[edges[:-1]] > 0
     starts, ends = edges[:-1][real], edges[1:][real]
     value = BYTE[LOWER[data] if lower else data] * power(BASE, len(data))
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
     hashes = (total[ends] - total[starts]) * power(INVERSE, len(data))[starts]
-    doc = np.searchsorted(at, starts, side="right") - 1
-    counts += np.bincount(doc, minlength=len(counts))
-    return mix64(hashes ^ (ends - starts).astype(np.uint64)), counts
+    return mix64(hashes ^ (ends - starts).astype(np.uint64)), starts
 
 
 def shingles(hashes: np.ndarray, counts: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
