@@ -2,21 +2,21 @@
 
 Texts become hashed n-grams: words, pairs of words, and one feature for a word that repeats the one before. Two
 generative models are counted over them: the raw model over every document, the target model over the labelled good
-ones. A document's log weight is its log likelihood ratio per n-gram times ``LENGTH``, so a long text counts no more
-than a short one. Gumbel noise drawn by a hash of the document is added, and the ``k`` highest sums are the sample:
-drawing without replacement in proportion to the weights.
+ones. A document's log weight is its log likelihood ratio, the sum over its n-grams. Gumbel noise drawn by a hash of the
+document is added, and the ``k`` highest sums are the sample: drawing without replacement in proportion to the weights,
+so near the margin the draw decides.
 
-``k`` is the number of documents of the whole corpus whose weight reaches a cut, and the cut is set on labelled
-documents that the target model has not seen: the one with the least error, a good document lost counting ``CARE``
-times a bad one kept.
+``k`` is a ``share`` of the corpus. Where none is given, it is the share that looks like the target: of documents whose
+weight reaches a cut, set on labelled documents that the target model has not seen, with the least error, a good document
+lost counting ``CARE`` times a bad one kept.
 
 At most ``LABELS`` labelled documents are used (the lowest by hash of their id); everything else covers all documents.
 The counts, whose number is that of the hash buckets, are the only thing that goes through the driver; the k-th sum is
 found by histograms, not by a sort.
 
 Defined results: null, empty and wordless texts have weight 0, the weight of a text that tells nothing; without good
-labels all documents are kept; labels that are null, or of unknown documents, are ignored, and so are null document
-ids among them; rows equal in id and text are kept or dropped together; an empty table gives an empty result; other
+labels and share all documents are kept; labels that are null, or of unknown documents, are ignored, and so are null
+document ids among them; a document with contradicting labels is a bad one; rows equal in id and text are kept or dropped together; an empty table gives an empty result; other
 columns pass through.
 """
 
@@ -26,14 +26,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DataType, DoubleType, LongType, StructField, StructType
 
 from starmart.llm.common import mix64, stored
 from starmart.llm.words import NEXT, slices, words
 
-BUCKETS = 1 << 16
+BUCKETS = 10_000
 LABELS = 20_000
-LENGTH = 1000.0
 CARE = 20.0
 
 
@@ -75,6 +74,11 @@ def best_cut(scores: np.ndarray, good: np.ndarray, care: float) -> float:
     return float((below + scores[order[at]]) / 2) if at < len(scores) else float(below)
 
 
+def gumbel(hashes: np.ndarray) -> np.ndarray:
+    """Gumbel noise made of 64-bit hashes."""
+    return -np.log(-np.log(((mix64(hashes) >> np.uint64(12)).astype(float) + 0.5) / 2.0 ** 52))
+
+
 def kth_largest(frame: DataFrame, column: str, k: int, bins: int = 4096, few: int = 10_000) -> float:
     """The k-th largest value: histograms over ever narrower ranges, the last few values looked at."""
     low, high = frame.agg(F.min(column), F.max(column)).first()
@@ -104,21 +108,27 @@ class Resampler:
     """Fitted on ``docs``; ``sample`` keeps the documents drawn."""
 
     def __init__(self, docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality",
-                 buckets: int = BUCKETS, max_labels: int = LABELS, length: float = LENGTH, care: float = CARE, seed: int = 41):
-        self.doc_id, self.text, self.buckets, self.length, self.seed = doc_id, text, buckets, length, seed
-        pick = F.xxhash64(F.col(doc_id), F.lit(seed))
-        known = labels.where(F.col(doc_id).isNotNull() & F.col(quality).isNotNull()).select(
-            F.col(doc_id).alias("id"), F.col(quality).cast("int").alias("quality"), pick.alias("pick"))
+                 buckets: int = BUCKETS, max_labels: int = LABELS, share: float | None = None, care: float = CARE, seed: int = 41):
+        self.doc_id, self.text, self.buckets, self.seed = doc_id, text, buckets, seed
+        known = labels.where(F.col(doc_id).isNotNull() & F.col(quality).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(
+            F.min(F.col(quality).cast("int")).alias("quality")).withColumn("pick", F.xxhash64("id", F.lit(seed)))
         # Odd picks fit the target model, even ones set the cut.
         self.labels = {r["id"]: (r["quality"] > 0, r["pick"] % 2 != 0) for r in known.orderBy("pick", "id").limit(max_labels).collect()}
         self.ratios = log_ratios(self.count(docs).collect(), buckets)
         self.scored = stored(self.score(docs).select(F.col(doc_id).alias("id"), "__score", "__key"), "scores", "snappy")
+        if share is None:
+            self.cut = self.held_out_cut(docs.schema[doc_id].dataType, care)
+            k = self.scored.where(F.col("__score") >= self.cut).count() if np.isfinite(self.cut) else 0
+        else:
+            k = max(1, round(share * self.scored.count()))
+        self.threshold = kth_largest(self.scored, "__key", k) if k and not self.scored.isEmpty() else None
+
+    def held_out_cut(self, id_type: DataType, care: float) -> float:
+        """The least-error cut over labelled documents that fit nothing."""
         held = {i for i, (_, fits) in self.labels.items() if not fits}
-        ids = docs.sparkSession.createDataFrame([(i,) for i in held], StructType([StructField("id", docs.schema[doc_id].dataType)]))
+        ids = self.scored.sparkSession.createDataFrame([(i,) for i in held], StructType([StructField("id", id_type)]))
         seen = self.scored.join(F.broadcast(ids), "id", "left_semi").groupBy("id").agg(F.min("__score").alias("s")).collect()
-        self.cut = best_cut(np.array([r["s"] for r in seen]), np.array([self.labels[r["id"]][0] for r in seen], bool), care)
-        k = self.scored.where(F.col("__score") >= self.cut).count() if np.isfinite(self.cut) else 0
-        self.threshold = kth_largest(self.scored, "__key", k) if k else None
+        return best_cut(np.array([r["s"] for r in seen]), np.array([self.labels[r["id"]][0] for r in seen], bool), care)
 
     def count(self, docs: DataFrame) -> DataFrame:
         """bucket, raw, target: n-grams of all documents and of the labelled good ones for fitting."""
@@ -139,8 +149,8 @@ class Resampler:
         return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
     def score(self, docs: DataFrame) -> DataFrame:
-        """``docs`` with ``__score`` (log ratio per n-gram) and ``__key`` (log weight and noise)."""
-        ratios, buckets, length, at = self.ratios, self.buckets, self.length, docs.columns.index(self.text)
+        """``docs`` with ``__score`` (log ratio) and ``__key`` (log weight and noise)."""
+        ratios, buckets, at = self.ratios, self.buckets, docs.columns.index(self.text)
         drawn = docs.withColumn("__draw", F.xxhash64(F.col(self.doc_id), F.col(self.text), F.lit(self.seed)))
         schema = StructType([*docs.schema.fields, StructField("__score", DoubleType()), StructField("__key", DoubleType())])
         arrow = to_arrow_schema(schema)
@@ -151,11 +161,8 @@ class Resampler:
                 score = np.zeros(n)
                 for a, b in slices(texts):
                     gram, row = features(texts.slice(a, b - a), buckets)
-                    sums = np.bincount(row, ratios[gram], minlength=b - a)
-                    score[a:b] = sums / np.maximum(np.bincount(row, minlength=b - a), 1)
-                draw = mix64(batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).view(np.uint64))
-                uniform = ((draw >> np.uint64(12)).astype(float) + 0.5) / 2.0 ** 52
-                key = length * score - np.log(-np.log(uniform))
+                    score[a:b] = np.bincount(row, ratios[gram], minlength=b - a)
+                key = score + gumbel(batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).view(np.uint64))
                 yield from pa.Table.from_arrays([*batch.columns[:-1], pa.array(score), pa.array(key)], schema=arrow).to_batches()
         return drawn.mapInArrow(run, schema)
 

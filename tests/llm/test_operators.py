@@ -1,6 +1,8 @@
 """The corpus operators against brute force, on odd rows, on empty tables, and on the sample documents."""
 
 import hashlib
+import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,10 +15,11 @@ from starmart.llm import (
     bin_slack_packing, bwt_dedup, dart_minhash, graph, importance_resampling, kdtree_topk, oph_fingerprint, pivotal_mixing,
     splitter_sharding, surrogate_pii, varbyte_tokens,
 )
-from starmart.llm.common import scratch_path, table
+from starmart.llm import words as words_module
+from starmart.llm.common import mix64, scratch_path, table
 from starmart.llm.queries import ORACLE_SQL, QUERIES, tokenizer_path
 from starmart.llm.tokens import Encoder
-from starmart.llm.words import shingles, words
+from starmart.llm.words import NEXT, shingles, words
 
 from .conftest import prose
 
@@ -34,6 +37,16 @@ def jaccard(a, b):
 
 # --- words and tokens
 
+@pytest.mark.parametrize("punctuation", [False, True])
+def test_words_of_long_texts_do_not_depend_on_their_parts(odd, monkeypatch, punctuation):
+    texts = pa.array([t for _, t, _ in odd] + ["", "one, two. " * 40, None, " " * 100, "z" * 9000 + " end"])
+    whole, counts = words(texts, punctuation)
+    for size in (1, 16, 5000):
+        monkeypatch.setattr(words_module, "SLICE_BYTES", size)
+        parts, again = words(texts, punctuation)
+        assert (parts == whole).all() and (again == counts).all()
+
+
 def test_word_and_shingle_hashes_follow_the_words():
     texts = [None, "", "a b c d e f", "  a\tb\nc d e f ", "b c d e f", "a b"]
     hashes, counts = words(pa.array(texts))
@@ -339,6 +352,58 @@ def test_resampling_of_odd_rows(spark, make, odd):
     assert importance_resampling.Resampler(make([]), some).sample(make([])).count() == 0
 
 
+def test_resampling_equals_a_plain_version(spark, make):
+    rng = np.random.default_rng(17)
+    rows = []
+    for i in range(300):
+        good, bad = prose(i % 7, 30).split(), prose(100 + i % 5, 30).split()
+        mine = [str(rng.choice(good if rng.random() < (0.8 if i % 3 else 0.3) else bad)) for _ in range(int(rng.integers(0, 12)))]
+        rows.append((i, "  ".join(mine) + rng.choice(["", ".", " !!", "\né ü"]), "s"))
+    rows += [(300, None, "s"), (301, "", "s"), (5, rows[5][1], "s")]
+    marks = [(i, int(i % 3 > 0)) for i in range(0, 300, 2)] + [(4, 0), (4, 1)]
+    fitted = importance_resampling.Resampler(make(rows), spark.createDataFrame(marks, "doc_id long, quality int"), share=0.5)
+    result = {(r.doc_id, r.text): (r["__score"], r["__key"]) for r in fitted.score(make(rows)).collect()}
+
+    hashed = {}
+    def grams(text):
+        seen = re.findall(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff \t-\r]+", (text or "").encode())
+        for w in seen:
+            hashed.setdefault(w, int(words(pa.array([w.decode()]), punctuation=True)[0][0]))
+        ids, wrap = [hashed[w] for w in seen], (1 << 64) - 1
+        mixed = [int(mix64(np.array([(a * int(NEXT) + b) & wrap], np.uint64))[0]) for a, b in zip(ids, ids[1:])]
+        again = [int(mix64(np.array([1], np.uint64))[0]) for a, b in zip(ids, ids[1:]) if a == b]
+        return [g % importance_resampling.BUCKETS for g in ids + mixed + again]
+
+    verdict = {}
+    for i, q in marks:
+        verdict[i] = min(q, verdict.get(i, 1))
+    fits = {i for i, (_, f) in fitted.labels.items() if f}
+    assert {i: bool(q) for i, q in verdict.items()} == {i: q for i, (q, _) in fitted.labels.items()}
+    every, target = Counter(), Counter()
+    for i, text, _ in rows:
+        every.update(grams(text))
+        if i in fits and verdict[i]:
+            target.update(grams(text))
+    n = importance_resampling.BUCKETS
+    def ratio(g):
+        return math.log((target[g] + 1) / (target.total() + n)) - math.log((every[g] + 1) / (every.total() + n))
+    for i, text, _ in rows:
+        assert math.isclose(result[i, text][0], sum(map(ratio, grams(text))), abs_tol=1e-9)
+    keys = sorted((result[i, t][1] for i, t, _ in rows), reverse=True)
+    drawn = {(r.doc_id, r.text) for r in fitted.sample(make(rows)).collect()}
+    cut = keys[round(0.5 * len(rows)) - 1]
+    assert drawn == {d for d, (_, key) in result.items() if key >= cut}
+    highest = sorted(result, key=lambda d: -result[d][0])[:len(drawn)]
+    assert drawn != set(highest)  # the draw decides near the margin
+
+
+def test_gumbel_draws_in_proportion_to_weights():
+    weights = np.log([0.5, 0.3, 0.15, 0.05])
+    noise = importance_resampling.gumbel(np.arange(40_000, dtype=np.uint64)).reshape(-1, 4)
+    won = np.bincount(np.argmax(weights + noise, axis=1), minlength=4) / len(noise)
+    assert np.abs(won - np.exp(weights)).max() < 0.02
+
+
 def test_kth_largest(spark):
     values = np.random.default_rng(6).normal(size=500).round(1).tolist()
     frame = spark.createDataFrame([(v,) for v in values], "v double")
