@@ -8,6 +8,11 @@ check digits of cards and IBANs hold where they held, octets stay octets, a give
 script. All distinct values of the corpus are checked: where two values drew the same surrogate, or a surrogate is
 itself a value of the corpus, one draws again, until no two agree.
 
+Given and family names are of one kind: a name gets one surrogate wherever it stands. Its gender is that of the forms of
+address it follows anywhere in the corpus, or is told by its ending where they disagree or tell none; a name that stands
+before another one anywhere is a given name. Where a document names somebody after a form of address, the same names are
+replaced in the rest of that document too, as whole words in the same case.
+
 So that this ends where a format has fewer places than values, every fourth attempt of a value draws from a larger space:
 names get longer, and local parts, first labels of domains, telephone, card and social security numbers, IBANs and
 secrets get one more letter or digit each time (check digits still hold). IP addresses first let octets change their
@@ -26,7 +31,7 @@ import hmac
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -39,16 +44,13 @@ TITLES = {
     "Monsieur": "m", "Madame": "f", "Mme": "f", "Mlle": "f", "Señor": "m", "Señora": "f", "Sr": "m", "Sra": "f",
     "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f",
 }
-#: Given names by script and gender.
-GIVEN = {
-    ("latin", "m"): "Adam Albert Anton Bruno Carlo David Elias Felix Georg Hugo Ivan Jonas Karl Leon Martin Noel Oscar Paul Robert Simon Thomas Victor".split(),
-    ("latin", "f"): "Ada Alice Anna Bella Clara Diana Elena Emma Flora Greta Hanna Ida Julia Karla Laura Maria Nina Olivia Paula Rosa Sara Vera".split(),
-    ("cyrillic", "m"): "Антон Борис Виктор Георгий Иван Кирилл Максим Олег Павел Роман Сергей Юрий".split(),
-    ("cyrillic", "f"): "Алла Анна Вера Галина Елена Ирина Лариса Мария Нина Ольга Светлана Юлия".split(),
-    ("greek", "m"): "Αλέξανδρος Γιώργος Δημήτρης Ηλίας Κώστας Νίκος Πέτρος Στέφανος".split(),
-    ("greek", "f"): "Άννα Βασιλική Ελένη Ζωή Κατερίνα Μαρία Σοφία Χριστίνα".split(),
+#: Endings of made-up given names by script and gender.
+ENDINGS = {
+    ("latin", "m"): "n s r l rt ld".split(), ("latin", "f"): "na ra lia nia tta sa".split(),
+    ("cyrillic", "m"): "н м р л".split(), ("cyrillic", "f"): "на ла ря ня".split(),
+    ("greek", "m"): "νος ρος λης μας".split(), ("greek", "f"): "να ρα λια νη".split(),
 }
-#: Syllables of made-up family names by script.
+#: Syllables of made-up names by script.
 SYLLABLES = {
     "latin": "ba be bo da de do fa fe ga go ha he ka ke ko la le lo ma me mo na ne no ra re ro sa se ta te to va ve wa".split(),
     "cyrillic": "ба бе бо ва ве го да де до ка ко ла ле ло ма ме мо на не но ра ре ро са се та те то".split(),
@@ -67,6 +69,8 @@ PATTERN = re.compile("|".join([
     r"(?P<intl>(?<![\w.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w))",
     rf"(?P<name>(?<!\w)(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\.?[ ](?P<full>{NAME}(?:[ ]{NAME}){{0,2}}))",
 ]))
+#: A word as names are told from each other.
+WORD = re.compile(rf"(?<!\w){NAME}(?!\w)")
 #: What a document must hold to be looked at closely, for Java; its digits are those of Python's ``\d`` in PATTERN.
 TRIGGER = r"[\p{Nd}@]|" + "|".join(TITLES)
 
@@ -77,33 +81,49 @@ def script(text: str) -> str:
 
 
 def name_parts(full: str) -> list[tuple[int, int]]:
-    """Capitalized words from the start on; the first that is not ends the name."""
+    """Capitalized words from the start on; another word or a form of address ends the name."""
     parts = []
     for word in re.finditer(NAME, full):
-        if not word.group()[0].isupper():
+        if not word.group()[0].isupper() or word.group() in TITLES:
             break
         parts.append(word.span())
     return parts
 
 
-def entities(text: str) -> list[tuple[int, int, str]]:
-    """Start, end and kind of each entity, in order and apart from each other."""
-    found = []
-    for match in PATTERN.finditer(text):
-        kind, start = match.lastgroup, match.start()
+def entities(text: str) -> list[tuple[int, int, str, str]]:
+    """Start, end, kind and hint of each entity, in order and apart from each other.
+
+    The hint of a name is "m", "f" or "n" before another name, by the form of address, and "last" otherwise; a name
+    that is only mentioned again has none.
+    """
+    found, names, place = [], set(), 0
+    while match := PATTERN.search(text, place):
+        start, place = match.start(), match.end()
         kind = next(k for k in ("email", "iban", "secret", "card", "ssn", "ip", "phone", "intl", "name") if match.group(k) is not None)
         if kind == "email":
             at = match.group().rindex("@")
-            found += [(start, start + at, "local"), (start + at + 1, match.end(), "domain")]
+            found += [(start, start + at, "local", ""), (start + at + 1, match.end(), "domain", "")]
         elif kind == "name":
             base, gender = match.start("full"), TITLES[match.group("title")]
-            parts = name_parts(match.group("full"))
-            for n, (a, b) in enumerate(parts):
-                family = n == len(parts) - 1
-                found.append((base + a, base + b, "family" if family else f"given_{gender}"))
+            parts = [(base + a, base + b) for a, b in name_parts(match.group("full"))]
+            found += [(a, b, "name", "last" if n == len(parts) - 1 else gender) for n, (a, b) in enumerate(parts)]
+            names.update(text[a:b] for a, b in parts)
+            place = parts[-1][1] if parts else base  # words behind the name may be another entity
         else:
-            found.append((start, match.end(), "phone" if kind == "intl" else kind))
-    return found
+            found.append((start, match.end(), "phone" if kind == "intl" else kind, ""))
+    return with_mentions(text, found, names) if names else found
+
+
+def with_mentions(text: str, found: list, names: set[str]) -> list:
+    """The entities and, between them, the places where the names are mentioned once more."""
+    result, end = [], 0
+    for entity in [*found, (len(text), len(text), "", "")]:
+        for match in WORD.finditer(text, end, entity[0]):
+            if match.group() in names:
+                result.append((*match.span(), "name", ""))
+        result.append(entity)
+        end = entity[1]
+    return result[:-1]
 
 
 class Draw:
@@ -177,10 +197,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
                                  for i, c in enumerate(rest)) + draw.like("0" * more)
     if kind.startswith("given"):
         gender = kind[-1] if kind[-1] in "mf" else "f" if value.lower()[-1] in "aаяαη" else "m"
-        names = GIVEN[script(value), gender]
-        name = names[draw.below(len(names))]
-        for _ in range(more):  # names are doubled
-            name += "-" + names[draw.below(len(names))]
+        parts, endings = SYLLABLES[script(value)], ENDINGS[script(value), gender]
+        name = "".join(parts[draw.below(len(parts))] for _ in range(2 + more)).capitalize() + endings[draw.below(len(endings))]
         return name.upper() if len(value) > 1 and value.isupper() else name
     if kind == "family":
         parts = SYLLABLES[script(value)]
@@ -199,29 +217,50 @@ def sliced(batches, at: int):
 
 
 def surrogates(values: DataFrame, key: bytes) -> DataFrame:
-    """kind, value, surrogate: distinct within a kind and none of them a value of that kind."""
+    """kind, value, surrogate: distinct within a kind and none of them a value of that kind.
+
+    ``values`` has kind, value and, if surrogates of a kind differ in make, style.
+    """
+    style = F.col("style") if "style" in values.columns else F.col("kind")
+    values = stored(values.groupBy("kind", "value").agg(F.min(style).alias("style")), "values")
+
     def draw(batches):
         for batch in batches:
-            made = [surrogate(key, *row) for row in zip(*[c.to_pylist() for c in batch.columns])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], ["kind", "value", "attempt", "surrogate"])
+            _, value, styles, attempts = (c.to_pylist() for c in batch.columns)
+            made = [surrogate(key, *row) for row in zip(styles, value, attempts)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], ["kind", "value", "style", "attempt", "surrogate"])
 
     def drawn(rows: DataFrame) -> DataFrame:
-        return rows.select("kind", "value", "attempt").mapInArrow(draw, "kind string, value string, attempt int, surrogate string")
+        return rows.select("kind", "value", "style", "attempt").mapInArrow(
+            draw, "kind string, value string, style string, attempt int, surrogate string")
 
-    values = stored(values.select("kind", "value").distinct(), "values")
     taken = values.select("kind", F.col("value").alias("surrogate"), F.lit(True).alias("real"))
-    table = stored(drawn(values.withColumn("attempt", F.lit(0))), "surrogates")
+    settled, table = None, drawn(values.withColumn("attempt", F.lit(0)))
     while True:
-        # Of equal surrogates the one drawn at the earliest attempt stays, then that of the least value.
-        first = Window.partitionBy("kind", "surrogate").orderBy("attempt", "value")
-        marked = stored(
-            table.withColumn("place", F.row_number().over(first)).join(taken, ["kind", "surrogate"], "left")
-            .select("kind", "value", "attempt", "surrogate", ((F.col("place") > 1) | F.col("real").isNotNull()).alias("clash")), "surrogates")
+        # Of equal surrogates the one drawn at the earliest attempt stays, then that of the least value. What has
+        # settled is not written again; redrawn values only look up whether it holds theirs.
+        table = stored(table, "surrogates")
+        best = table.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "value")).alias("best"))
+        marked = table.join(best, ["kind", "surrogate"]).join(taken, ["kind", "surrogate"], "left")
+        clash = (F.col("value") != F.col("best.value")) | F.col("real").isNotNull()
+        if settled is not None:
+            held = settled.select("kind", "surrogate", F.lit(True).alias("held"))
+            marked, clash = marked.join(held, ["kind", "surrogate"], "left"), clash | F.col("held").isNotNull()
+        marked = stored(marked.select("kind", "value", "style", "attempt", "surrogate", clash.alias("clash")), "surrogates")
+        good = marked.where("not clash").select("kind", "value", "surrogate")
+        settled = good if settled is None else settled.unionByName(good)
         again = marked.where("clash")
         if again.isEmpty():
-            return marked.select("kind", "value", "surrogate")
-        redrawn = drawn(again.withColumn("attempt", F.col("attempt") + 1))
-        table = stored(marked.where("not clash").drop("clash").unionByName(redrawn), "surrogates")
+            return settled
+        table = drawn(again.withColumn("attempt", F.col("attempt") + 1))
+
+
+def styled(found: DataFrame) -> DataFrame:
+    """kind, value, style of all entities found: names become given names of a gender, or family names."""
+    seen = found.groupBy("kind", "value").agg(*[F.bool_or(F.col("hint") == h).alias(h) for h in ("m", "f", "n")])
+    given = (F.when(F.col("m") & ~F.col("f"), "given_m").when(F.col("f") & ~F.col("m"), "given_f")
+             .when(F.col("m") | F.col("n"), "given_n").otherwise("family"))
+    return seen.select("kind", "value", F.when(F.col("kind") == "name", given).otherwise(F.col("kind")).alias("style"))
 
 
 def replace(docs: DataFrame, key: bytes, text: str = "text", count: str | None = None) -> DataFrame:
@@ -234,15 +273,15 @@ def replace(docs: DataFrame, key: bytes, text: str = "text", count: str | None =
         for part in sliced(batches, 1):
             rows = set()
             for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                rows.update((d, k, t[a:b]) for a, b, k in entities(t))
+                rows.update((d, k, t[a:b], h) for a, b, k, h in entities(t))
             rows = sorted(rows)
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], ["digest", "kind", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(4)], ["digest", "kind", "value", "hint"])
 
     found = stored(close.select(digest.alias("digest"), F.col(text).alias("t")).mapInArrow(
-        find, "digest string, kind string, value string").distinct(), "entities")
-    table = surrogates(found, key)
+        find, "digest string, kind string, value string, hint string").distinct(), "entities")
+    table = surrogates(styled(found), key)
     known = (found.join(table, ["kind", "value"]).groupBy("digest").agg(
-        F.collect_list(F.struct("kind", "value", "surrogate")).alias("__pii_known")).withColumnRenamed("digest", "__pii_digest"))
+        F.collect_set(F.struct("kind", "value", "surrogate")).alias("__pii_known")).withColumnRenamed("digest", "__pii_digest"))
     joined = close.withColumn("__pii_digest", digest).join(stored(known, "known"), "__pii_digest", "left").select(*docs.columns, "__pii_known")
     at = docs.columns.index(text)
     schema = StructType([*docs.schema.fields, StructField("__pii_count", LongType())])
@@ -254,7 +293,7 @@ def replace(docs: DataFrame, key: bytes, text: str = "text", count: str | None =
             for t, known in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
                 names = {(k["kind"], k["value"]): k["surrogate"] for k in known or ()}
                 parts, end, n = [], 0, 0
-                for a, b, kind in entities(t) if names else ():
+                for a, b, kind, _ in entities(t) if names else ():
                     parts += [t[end:a], names[kind, t[a:b]]]
                     end, n = b, n + 1
                 texts.append("".join([*parts, t[end:]]))
