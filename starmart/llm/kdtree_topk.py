@@ -10,6 +10,8 @@ id; neither side is held whole anywhere, and what a block brings back is at most
 Scores are integers and ties go to the smaller id; bounds that equal the k-th score are followed as long as the node
 holds a smaller id.
 
+Scores beyond 64 bits become the nearest number of 64 bits, and such scores tie.
+
 Defined results: vectors that are null or hold null or non-finite components take no part; shorter vectors count as
 filled with zeros; rows with the query's own id are not its candidates; repeated rows of other ids are separate
 candidates; a query repeated as a row is answered once for each row; a null id takes no part; an empty table gives an
@@ -31,6 +33,9 @@ LEAF = 256
 SHARD_ROWS = 4096
 BLOCK_ROWS = 512
 
+#: Larger components count as this one; a score of such a component is beyond 64 bits in any case.
+HUGE = 1e300
+
 FOUND = "query_id long, query_row long, vec_id long, score long"
 
 
@@ -44,8 +49,15 @@ def components(vectors: pd.Series, dims: int = 0) -> np.ndarray:
 
 
 def exact(rows: np.ndarray) -> np.ndarray:
-    return rows if not rows.size or np.abs(rows).max() < 2 ** 20 and rows.shape[1] < 2 ** 12 else np.array(
-        [[int(x) for x in row] for row in rows], dtype=object)
+    return rows if not rows.size or np.abs(rows).max() < 2 ** 20 and rows.shape[1] < 2 ** 12 else whole(rows)
+
+
+def whole(rows: np.ndarray) -> np.ndarray:
+    return np.array([int(x) for x in rows.ravel()], dtype=object).reshape(rows.shape)
+
+
+def in_64_bits(scores: np.ndarray) -> np.ndarray:
+    return np.clip(scores, -1 << 63, (1 << 63) - 1) if scores.dtype == object else scores
 
 
 class Tree:
@@ -80,12 +92,12 @@ class Tree:
         self.low, self.high, self.least = np.array(low), np.array(high), least
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
-        return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
+        return in_64_bits(np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T)
 
     def search(self, query: np.ndarray, own: int, bounds: np.ndarray, k: int, floor) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best rows that reach ``floor``, none of them with the id ``own``."""
         ids, scores = np.empty(0, np.int64), np.empty(0, self.rows.dtype)
-        kth, kth_id = floor, None
+        kth, kth_id = float(floor), None  # compares with integers of any size
         heap = [(-bounds[0], 0)]
         while heap:
             bound, node = heapq.heappop(heap)
@@ -100,7 +112,7 @@ class Tree:
                         heapq.heappush(heap, (-bounds[child], child))
                 continue
             start, stop = self.slices[node]
-            leaf = self.rows[start:stop] @ query
+            leaf = in_64_bits(self.rows[start:stop] @ query)
             good = np.flatnonzero((leaf >= kth) & (self.ids[start:stop] != own))
             if not len(good):
                 continue
@@ -137,6 +149,9 @@ def searcher(k: int):
                 elif dims > vectors.shape[1]:
                     vectors = np.pad(vectors, ((0, 0), (0, dims - vectors.shape[1])))
                 vectors = exact(vectors)
+                if object in (vectors.dtype, tree.rows.dtype):  # doubles are exact only among themselves
+                    vectors = whole(vectors)
+                    tree.rows, tree.low, tree.high = whole(tree.rows), whole(tree.low), whole(tree.high)
                 bounds = tree.bounds(vectors)
                 found = [tree.search(q, own, b, k, floor) for q, own, b, floor in zip(vectors, ids, bounds, floors)]
                 n = [len(f[0]) for f in found]
@@ -152,7 +167,9 @@ def with_floors(k: int):
         for i, raw in enumerate(blocks["queries"]):
             ids, row, vectors, floors = pickle.loads(raw)
             full = found.groupby("query_row")["score"].agg(lambda s: np.sort(s)[-k] if len(s) >= k else -np.inf)
-            floors = np.maximum(floors, full.reindex(row).fillna(-np.inf).to_numpy(float))
+            full = full.reindex(row).fillna(-np.inf).to_numpy(float)
+            full = np.where(np.abs(full) >= 2.0 ** 53, np.nextafter(full, -np.inf), full)  # not rounded up
+            floors = np.maximum(floors, full)
             blocks.at[i, "queries"] = pickle.dumps((ids, row, vectors, floors))
         return blocks[["block", "queries"]]
     return run
@@ -164,8 +181,13 @@ def search(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", ve
 
     Components are ``floor(scale * x)``; pass ``scale=None`` for vectors of whole numbers.
     """
-    value = lambda x: x.cast("double") if scale is None else F.floor(x.cast("double") * scale).cast("double")
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) > 1e300))
+    def value(x):
+        if scale is None:
+            return x.cast("double")
+        scaled = F.greatest(F.least(x.cast("double") * scale, F.lit(HUGE)), F.lit(-HUGE))
+        return F.when(F.abs(scaled) < 2.0 ** 53, F.floor(scaled).cast("double")).otherwise(scaled)  # beyond, all are whole
+    infinite = F.lit(float("inf"))
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == infinite))
     rows = stored(
         vectors.where(F.col(vector).isNotNull() & ~bad & F.col(vec_id).isNotNull())
         .select(F.col(vec_id).cast("long").alias("vec_id"), F.transform(vector, value).alias("vector")), "vectors")

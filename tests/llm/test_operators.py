@@ -273,6 +273,22 @@ def test_top_k_with_ties_nulls_and_repeats(spark):
     assert kdtree_topk.search(frame.limit(0), lambda i: i % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("shard_rows", [4096, 3])
+def test_topk_of_wide_values(spark, shard_rows):
+    """All finite components take part; scores beyond 64 bits saturate."""
+    rng = np.random.default_rng(12)
+    rows = [(i, [float(x) for x in rng.choice([0.3, -7.5, 2.0 ** 22, -1e8, 3e7], 3)]) for i in range(1, 41)]
+    rows += [(50, [1e301, 0.0, 0.0]), (51, [1e17, 1.0, 0.0]), (52, [float("inf"), 0.0, 1.0]), (53, [float("nan"), 0.0, 1.0]), (54, [-1.7e308, 0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [math.floor(min(max(64 * x, -1e300), 1e300)) for x in v] for i, v in rows if all(map(math.isfinite, v))}
+    found = kdtree_topk.search(frame, lambda i: i % 20 == 0, k=7, shard_rows=shard_rows, block_rows=2).collect()
+    expected = []
+    for q in (20, 40):
+        scores = [(-min(max(sum(a * b for a, b in zip(whole[q], v)), -1 << 63), (1 << 63) - 1), i) for i, v in whole.items() if i != q]
+        expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scores)[:7])]
+    assert sorted(map(tuple, found)) == expected
+
+
 # --- 5
 
 def test_variable_bytes_round_trip():
@@ -484,7 +500,7 @@ def test_surrogates(make, odd):
     assert len(result) == len(rows) and set(result[0].asDict()) == {*frame.columns, "n_replaced"}
     assert by_id[101].text == by_id[103].text and by_id[104].text == rows[3][1] and by_id[104].n_replaced == 0
     for doc, text in ((101, first), (102, second)):
-        for a, b, _ in surrogate_pii.entities(text):
+        for a, b, *_ in surrogate_pii.entities(text):
             assert text[a:b] not in by_id[doc].text
     new = by_id[101].text
     card = "".join(c for c in new[new.index("card"):new.index(", from")] if c.isdigit())
@@ -497,6 +513,22 @@ def test_surrogates(make, odd):
     assert surrogate_pii.replace(make([]), KEY).count() == 0
 
 
+def test_names_keep_one_surrogate(make):
+    """A name has one surrogate whatever its place and form of address, and later mentions follow."""
+    texts = ["Dr Anna Smith spoke.", "Frau Anna Smith spoke.", "Mr Paul Jones stayed. Jones said so, Jonesy did not; Paul left.",
+             "Mrs Smith and Miss Paul Li met jones.", "Jones alone is no entity here", "Herr Иван Петров, Иван!", "Ms Jones", "Mr Smith-Jones"]
+    rows = {r.doc_id: r.text for r in surrogate_pii.replace(make([(i, t, "s") for i, t in enumerate(texts)]), KEY).collect()}
+    anna, smith = rows[0].split()[1:3]
+    assert rows[1] == f"Frau {anna} {smith} spoke." and rows[3].split()[1] == smith and anna[-1] == "a"
+    paul, jones = rows[2].split()[1:3]
+    assert rows[2] == f"Mr {paul} {jones} stayed. {jones} said so, Jonesy did not; {paul} left."
+    assert rows[3].split()[4] == paul and rows[3].endswith("met jones.") and rows[4] == texts[4] and rows[6] == f"Ms {jones}"
+    ivan, petrov = rows[5].rstrip("!").replace(",", "").split()[1:3]
+    assert rows[5] == f"Herr {ivan} {petrov}, {ivan}!" and all("а" <= c.lower() <= "я" for c in ivan + petrov)
+    assert len({anna, smith, paul, jones, ivan, petrov, rows[7].split()[1]}) == 7
+    assert not {anna, smith, paul, jones, ivan, petrov} & {"Anna", "Smith", "Paul", "Jones", "Иван", "Петров", "Li"}
+
+
 def test_surrogates_stay_distinct(spark):
     values = spark.createDataFrame([("given_f", f"Name{i}") for i in range(60)] + [("given_f", "Anna")] + [("ip", f"1.2.3.{i}") for i in range(9)],
                                    "kind string, value string")
