@@ -2,9 +2,10 @@
 
 Tokenizers split text before they merge, and between two visible characters a single space always starts a new piece
 and a single line feed always is one. So the texts of a slice are cut there by Arrow, the pieces are dictionary-encoded,
-each distinct piece is looked up once (and encoded once per worker), and numpy puts the ids of all texts together; Python
-sees distinct pieces only. A word of plain letters goes straight to the tokenizer's model, which spares the slow
-splitting; whether that gives the same ids is tried on samples first. Texts with other white space are cut one by one.
+split into its word and the signs behind it, and each distinct word is looked up once (and encoded once per worker); Arrow
+joins words and signs to pieces and puts the ids of all texts together, so Python sees distinct words only. A word of plain
+letters goes straight to the tokenizer's model, which spares the slow splitting; whether that gives the same ids is tried
+on samples first. Texts with other white space are cut one by one.
 Texts that hold the string of a special token go whole to the tokenizer, which gives its id as it does by default; with
 ``special=False`` such strings are ordinary text.
 """
@@ -24,8 +25,10 @@ import pyarrow.compute as pc
 from starmart.llm.words import slices
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
-PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+PLAIN = re.compile(LETTER)
 MARKS = string.punctuation
+ONLY_MARKS = rf"^[{re.escape(MARKS)}]*$"
 SAMPLES = ["hello", "Hello", "\u00e9lan", "gr\u00fc\u00dfe", "THE", "xqzjw", "end.", "Ende,***", "it!!"]
 PIECES_KEPT = 400_000
 LONGEST_KEPT = 64
@@ -44,25 +47,6 @@ def byte_letters() -> dict[int, str]:
 LETTERS = byte_letters()
 
 
-class Store:
-    """Ids of pieces, one after the other; begun anew when it is full, between slices."""
-
-    def __init__(self):
-        self.spaced: dict[str, int] = {}
-        self.bare: dict[str, int] = {}
-        self.ids, self.starts, self.lengths = bytearray(), array("q"), array("q")
-
-    def get(self, place: int, width: int) -> bytes:
-        start = self.starts[place]
-        return bytes(self.ids[start:start + self.lengths[place] * width])
-
-    def add(self, ids: bytes, width: int) -> int:
-        self.starts.append(len(self.ids))
-        self.ids += ids
-        self.lengths.append(len(ids) // width)
-        return len(self.lengths) - 1
-
-
 class Encoder:
     """Encodes texts to little-endian unsigned ids of ``width`` bytes each."""
 
@@ -76,7 +60,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.code, self.dtype = "H" if self.width == 2 else "I", np.dtype(f"<u{self.width}")
-        self.store, self.marks = Store(), {}
+        self.known, self.marks = {}, {}
         self.line = self.whole("\n")
         self.lower = None  # how a plain word reaches the model; None if neither way gives the samples' ids
         for lower in (False, True):
@@ -91,7 +75,9 @@ class Encoder:
 
     def word(self, word: str) -> bytes:
         """A plain word, with the space before it if the model has one, by the model alone."""
-        if not word.isascii() or not word.isalpha():
+        if word[:1] == " " and word.isascii():
+            word = LETTERS[32] + word[1:]
+        elif not word.isascii() or not word.isalpha():
             word = word.encode().decode("latin-1").translate(LETTERS)
         return array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()
 
@@ -114,30 +100,35 @@ class Encoder:
         ids = self.word(word.lower() if self.lower else before + word)
         return ids + self.marks[mark] if mark else ids
 
-    def add(self, known: dict[str, int], before: str, name: str) -> int:
-        """A piece's ids put into the store; those of a word are found again with any signs behind it."""
-        plain = self.split(name) if self.lower is not None else None
-        if plain is None or not plain[1]:
-            place = self.store.add(self.piece(before, name), self.width)
-        else:
-            word, mark = plain
-            at = known.get(word)
-            at = self.add(known, before, word) if at is None else at
-            if mark not in self.marks:
-                self.piece("", "a" + mark)
-            place = self.store.add(self.store.get(at, self.width) + self.marks[mark], self.width)
-        if len(name) <= LONGEST_KEPT:
-            known[name] = place
-        return place
-
-    def places(self, names: list[str], before: str) -> list[int]:
-        """Where the ids of each piece stand in the store."""
-        known = self.store.spaced if before else self.store.bare
+    def looked_up(self, texts: pa.Array, encode: Callable[[str], bytes], known: dict[str, bytes]) -> pa.Array:
+        """The ids of each text; a distinct one is encoded if it is not known."""
+        coded = texts.dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = list(map(known.get, names))
-        for i, place in enumerate(found):
-            if place is None:
-                found[i] = self.add(known, before, names[i])
-        return found
+        for i, ids in enumerate(found):
+            if ids is None:
+                found[i] = ids = encode(names[i])
+                if len(names[i]) <= LONGEST_KEPT:
+                    known[names[i]] = ids
+        return pa.array(found, pa.large_binary()).take(coded.indices)
+
+    def pieces(self, names: pa.Array, before: str) -> pa.Array:
+        """The ids of pieces, all with or all without a space before."""
+        if self.lower is None:
+            return pa.array([self.whole(before + name) for name in names.to_pylist()], pa.large_binary())
+        mark = pc.replace_substring_regex(names, f"^{LETTER}", "")
+        plain = pc.and_(pc.match_substring_regex(mark, ONLY_MARKS), pc.less(pc.binary_length(mark), pc.binary_length(names)))
+        word, mark = pc.utf8_rtrim(names.filter(plain), MARKS), mark.filter(plain)
+        word = pc.utf8_lower(word) if self.lower else pc.binary_join_element_wise(pa.scalar(before, word.type), word, pa.scalar("", word.type))
+        if len(self.marks) >= 1000:
+            self.marks.clear()
+        made = pc.binary_join_element_wise(
+            self.looked_up(word, self.word, self.known), self.looked_up(mark, self.whole, self.marks), pa.scalar(b"", pa.large_binary()))
+        others = [self.whole(before + name) for name in names.filter(pc.invert(plain)).to_pylist()]
+        order = np.argsort(~np.asarray(plain), kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        return pa.concat_arrays([made, pa.array(others, pa.large_binary())]).take(pa.array(place))
 
     def odd_text(self, text: str | None) -> bytes:
         """A text with other white space, special strings, or nothing in it."""
@@ -161,9 +152,9 @@ class Encoder:
         ``end_id`` is appended to each text.
         """
         texts = texts.cast(pa.large_string()).fill_null("")
-        simple, store = self.simple(texts), self.store
-        if len(store.lengths) > PIECES_KEPT:
-            store = self.store = Store()
+        simple = self.simple(texts)
+        if len(self.known) > PIECES_KEPT:
+            self.known = {}
         # Cut: a piece is a word or a line feed; the first of a text and those behind a line feed have no space before.
         cut = pc.split_pattern(pc.replace_substring(texts.filter(pa.array(simple)), "\n", " \n "), " ")
         pieces, stops = cut.values.dictionary_encode(), np.asarray(cut.offsets)[1:].astype(np.int64)
@@ -174,14 +165,21 @@ class Encoder:
             bare[0] = True
             bare[1:] = codes[:-1] == line
             bare[stops[:-1]] = True
-        place = np.zeros((len(names), 2), np.int64)  # in the store, with a space before and without
+        # Distinct entries: pieces with a space before, pieces without, the line feed, the end, and odd texts.
+        place, entry = np.zeros((2, len(names)), np.int64), 0
+        made = []
         for column, before in ((0, " "), (1, "")):
             seen = np.zeros(len(names), bool)
             seen[codes[bare == column]] = True
             seen[line if line >= 0 else []] = False
-            place[seen, column] = self.places(names.filter(pa.array(seen)).to_pylist(), before)
+            made.append(self.pieces(names.filter(pa.array(seen)), before))
+            place[column, seen] = entry + np.arange(len(made[-1]))
+            entry += len(made[-1])
         if line >= 0:
-            place[line] = store.add(self.line, self.width)
+            place[:, line] = entry
+        end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
+        others = np.flatnonzero(~simple)
+        made.append(pa.array([self.line, end, *[self.odd_text(t) for t in texts.take(pa.array(others)).to_pylist()]], pa.large_binary()))
         # One row of entries per text: its pieces, or the whole of an odd text; then the end.
         counts = np.ones(len(texts), np.int64)
         counts[simple] = np.diff(stops, prepend=0)
@@ -190,18 +188,15 @@ class Encoder:
         entries = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
         inside = np.repeat(simple, total)
         if end_id is not None:
-            entries[ends - 1] = store.add(np.array([end_id], self.dtype).tobytes(), self.width)
+            entries[ends - 1] = entry + 1
             inside[ends - 1] = False
-        entries[inside] = place[codes, bare.astype(np.int64)]
-        others = np.flatnonzero(~simple)
-        entries[(ends - total)[others]] = [store.add(self.odd_text(t), self.width) for t in texts.take(pa.array(others)).to_pylist()]
-        lengths, starts = np.array(store.lengths, np.int64), np.array(store.starts, np.int64) // self.width
-        sizes = lengths[entries]
-        stop = np.cumsum(sizes)
-        at = np.repeat(starts[entries] - (stop - sizes), sizes) + np.arange(int(stop[-1]) if len(stop) else 0)
-        ids = np.frombuffer(bytes(store.ids), self.dtype)[at]
-        offsets = np.concatenate([[0], np.concatenate([[0], stop])[ends]]).astype(np.int64)
-        return ids, offsets
+        entries[inside] = place[bare.astype(np.int64), codes]
+        entries[(ends - total)[others]] = entry + 2 + np.arange(len(others))
+        joined = pa.concat_arrays(made).take(pa.array(entries))
+        _, at, data = joined.buffers()
+        stop = np.frombuffer(at, np.int64, len(joined) + 1) if len(joined) else np.zeros(1, np.int64)
+        ids = np.frombuffer(data, self.dtype, int(stop[-1]) // self.width) if stop[-1] else np.zeros(0, self.dtype)
+        return ids, np.concatenate([[0], stop[ends] // self.width]).astype(np.int64)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         ids, offsets = self.encode_all(pa.array(texts, pa.string()))

@@ -76,6 +76,15 @@ def test_a_full_store_of_pieces_begins_anew(monkeypatch):
         assert np.frombuffer(encoder.encode([text])[0], encoder.dtype).tolist() == encoder.tokenizer.encode(text).ids
 
 
+def test_a_word_is_encoded_once_wherever_it_stands(monkeypatch):
+    encoder, seen = Encoder(tokenizer_path("word_bpe_49k.json")), []
+    word = encoder.word
+    monkeypatch.setattr(encoder, "word", lambda text: seen.append(text) or word(text))
+    text = "sable quince, sable.\nQuince! sable\nSable quince;"
+    assert np.frombuffer(encoder.encode([text])[0], encoder.dtype).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(seen) == ["quince", "sable"]
+
+
 # --- 1
 
 def brute_classes(rows):
