@@ -214,3 +214,26 @@ def test_events_without_a_business_have_their_own_month(spark):
         "business_id string, review_id string, stars double, date string"))
     assert {(r.business_id, r.month_id, r.review_count) for r in facts.monthly_fact(activity).collect()} == {
         (None, "202001", 1), ("b", "202001", 1)}
+
+
+def test_readers_of_engagement_share_its_shuffles(spark, tmp_path):
+    """Reading the rows with and without asking for a business gives the same joins below, so Spark makes them once."""
+    spark.range(60).selectExpr("id", "id % 7 as user", "id % 5 as business", "'2020-01-02 03:04:05' as date").write.parquet(f"{tmp_path}/review")
+    spark.range(5).selectExpr("cast(id as string) as business_id", "'s' as state", "array('a') as categories").write.parquet(f"{tmp_path}/profile")
+    spark.range(7).selectExpr("cast(id as string) as user_id").write.parquet(f"{tmp_path}/user")
+    review, profile, user = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("review", "profile", "user"))
+    review = review.selectExpr("cast(id as string) as review_id", "cast(user as string) as user_id", "cast(business as string) as business_id",
+                               "1.0D as stars", "1L as useful", "1L as funny", "1L as cool", "date")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = facts.engagement_rows(review, None, user, profile)
+        both = rows.groupBy("business_id").agg(F.max("review_id")).union(
+            rows.where("business_id is not null").groupBy("review_id").agg(F.max("business_id")))
+        plan = both._jdf.queryExecution()
+        assert len(both.collect()) == 5 + 60
+        made = [line for line in plan.executedPlan().toString().split("Initial Plan")[0].splitlines()
+                if "Exchange hashpartitioning(user_id" in line and "ReusedExchange" not in line]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(made) == 2  # the reviews and the users, once each
