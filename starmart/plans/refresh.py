@@ -41,7 +41,7 @@ def build(spark: SparkSession, sources: dict[str, DataFrame], root: str, score_c
     activity = _stored(warehouse, written[ACTIVITY])
     written |= {
         MONTHLY: warehouse.write(MONTHLY, facts.monthly_fact(activity), F.col("month_id")),
-        DAILY: warehouse.write(DAILY, facts.operational_daily_fact(activity), F.substring("date_id", 1, 6)),
+        DAILY: warehouse.write(DAILY, facts.operational_daily_fact(activity, rolled=True), F.substring("date_id", 1, 6)),
         "manager/Dim_Location": warehouse.write("manager/Dim_Location", dims.dim_location(business)),
         "manager/Dim_Category": warehouse.write("manager/Dim_Category", dims.dim_category(business)),
     }
@@ -84,7 +84,7 @@ def add_events(
     rewritten = sorted({*months} - {"none"} | {r[0] for r in moved.select("month_id").distinct().collect()})
     others = read(warehouse, MONTHLY, base, rewritten).join(known.select(F.col("business_id").alias("_id")), own, "left_anti")
     monthly = warehouse.write(MONTHLY, others.unionByName(fresh.where(F.col("month_id").isin(rewritten))), F.col("month_id"))
-    daily = warehouse.write(DAILY, facts.operational_daily_fact(touched), F.substring("date_id", 1, 6))
+    daily = warehouse.write(DAILY, facts.operational_daily_fact(touched, rolled=True), F.substring("date_id", 1, 6))
     written = {ACTIVITY: activity, MONTHLY: {**before[MONTHLY], **monthly}, DAILY: {**before[DAILY], **daily}}
     version = warehouse.commit(written | _summaries(warehouse, _stored(warehouse, activity), business), base)
     for helper in (given, recounted):

@@ -83,7 +83,7 @@ def build_star_schema(
         "investor/Dim_Business": lambda: dims.dim_business_location(business, stored("investor/Dim_Location")),
         "investor/Dim_Date": lambda: dims.dim_date(events.review_checkin_dates(activity()), "investor"),
         "investor/Fact_Business_Performance": lambda: facts.daily_fact(
-            activity(), keyed_business(), stored("investor/Dim_Date")
+            activity(), keyed_business(), stored("investor/Dim_Date"), rolled=True
         ),
         "investor/Fact_Business_Categories": lambda: bridges.category_bridge_keys(
             business, stored("investor/Dim_Category"), keyed_business()
@@ -98,7 +98,7 @@ def build_star_schema(
             stored("marketing/DimBusiness")
         ),
         "operations/Dim_Date": lambda: dims.dim_date(events.review_checkin_dates(activity()), "operations"),
-        "operations/Fact_Operational_Performance": lambda: facts.operational_daily_fact(activity()),
+        "operations/Fact_Operational_Performance": lambda: facts.operational_daily_fact(activity(), rolled=True),
     }
     with ThreadPoolExecutor(parallel) as pool:
         for name, table in tables.items():

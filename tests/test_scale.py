@@ -237,3 +237,26 @@ def test_readers_of_engagement_share_its_shuffles(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(made) == 2  # the reviews and the users, once each
+
+
+def test_days_that_are_rolled_up_need_no_shuffle(spark):
+    rows = spark.createDataFrame([("r1", "b1", "2020-01-02 03:04:05", 4.0), ("r2", "b1", "2020-01-02 09:00:00", 2.0), ("r3", None, "x", 1.0)],
+                                 "review_id string, business_id string, date string, stars double")
+    daily = events.daily_activity(events.activity_rows(rows)).localCheckpoint()
+    plain, rolled = facts.operational_daily_fact(daily), facts.operational_daily_fact(daily, rolled=True)
+    assert plain.collect() == rolled.collect() and rolled.count() == 1
+    assert "Exchange" not in rolled._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_are_joined_to_their_orders_once(spark, sf_dir, tmp_path):
+    def keep(name, frame):
+        kept.append(name)
+        frame.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    kept = []
+    found = samples.sources(spark, sf_dir, keep)
+    assert kept == ["order_lines"]
+    for name, frame in samples.sources(spark, sf_dir).items():
+        assert frame.schema == found[name].schema and frame.exceptAll(found[name]).isEmpty() and frame.count() == found[name].count()
+    assert "orders" not in found["review"]._jdf.queryExecution().executedPlan().toString().replace("order_lines", "")
