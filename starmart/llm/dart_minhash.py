@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from starmart.llm.common import mix64, stored, unit
+from starmart.llm.common import mix64, releasing, stored, unit
 from starmart.llm.graph import components
 from starmart.llm.words import shingles, slices, words
 
@@ -153,7 +153,7 @@ def set_keys(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
             for a, b in slices(batch.column(1)):
                 keys = digests(*weighted(batch.column(1).slice(a, b - a), size, by_count), by_count)
                 yield from pa.table([batch.column(0).slice(a, b - a), pa.array(keys, pa.binary())], schema.names).cast(arrow).to_batches()
-    return inner.mapInArrow(run, schema)
+    return inner.mapInArrow(releasing(run), schema)
 
 
 def sketch(docs: DataFrame, text: str = "text", size: int = WORDS, by_count: bool = False) -> DataFrame:
@@ -179,7 +179,7 @@ def sketch(docs: DataFrame, text: str = "text", size: int = WORDS, by_count: boo
                 yield pa.RecordBatch.from_arrays([
                     pa.array(keys, pa.binary()), bands, pa.array([data[p] for p in parts], pa.binary()),
                     pa.array([heavy[p] for p in parts], pa.binary())], schema.names)
-    return inner.mapInArrow(run, schema)
+    return inner.mapInArrow(releasing(run), schema)
 
 
 def jaccard(a: bytes, b: bytes, wa: bytes = b"", wb: bytes = b"", least: float = 0.0) -> float:
@@ -216,7 +216,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
                 elif a == centre and jaccard(own, s, weight, w, similar) >= similar:
                     links.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.binary()) for i in (0, 1)], ["a", "b"])
-    return rows.mapInArrow(run, "a binary, b binary")
+    return rows.mapInArrow(releasing(run), "a binary, b binary")
 
 
 def tokens(shingles: bytes, weights: bytes) -> np.ndarray:
@@ -243,7 +243,7 @@ def close_pairs(sets: DataFrame, similar: float) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], ["cell", "n"])
 
     often = np.zeros(CELLS, np.int64)
-    counted = sets.select("shingles", "weights").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    counted = sets.select("shingles", "weights").mapInArrow(releasing(count), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     often[counted["cell"]] = counted["n"]  # no more rows than cells
 
     def prefixes(batches):
@@ -274,7 +274,7 @@ def close_pairs(sets: DataFrame, similar: float) -> DataFrame:
                 yield rows(batch, taken, held)
 
     found = stored(sets.select("key", "label", "shingles", "weights").mapInArrow(
-        prefixes, "token long, key binary, label binary, size long, place long, leads boolean"), "prefixes")
+        releasing(prefixes), "token long, key binary, label binary, size long, place long, leads boolean"), "prefixes")
     shared = found.groupBy("token").agg(
         F.count("*").alias("n"), F.count_if("leads").alias("n_short"), F.min("label").alias("low"), F.max("label").alias("high"))
     shared = shared.where("n_short > 0 and low < high").select(

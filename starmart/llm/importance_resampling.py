@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DataType, DoubleType, LongType, StructField, StructType
 
-from starmart.llm.common import mix64, stored
+from starmart.llm.common import mix64, releasing, stored
 from starmart.llm.words import NEXT, slices, words
 
 BUCKETS = 10_000
@@ -145,7 +145,7 @@ class Resampler:
                     target += np.bincount(gram[chosen[a:b][row]], minlength=buckets)
             seen = np.flatnonzero(raw)
             yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(raw[seen]), pa.array(target[seen])], ["bucket", "raw", "target"])
-        parts = docs.select(self.doc_id, self.text).mapInArrow(run, "bucket long, raw long, target long")
+        parts = docs.select(self.doc_id, self.text).mapInArrow(releasing(run), "bucket long, raw long, target long")
         return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
     def score(self, docs: DataFrame) -> DataFrame:
@@ -164,7 +164,7 @@ class Resampler:
                     score[a:b] = np.bincount(row, ratios[gram], minlength=b - a)
                 key = score + gumbel(batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).view(np.uint64))
                 yield from pa.Table.from_arrays([*batch.columns[:-1], pa.array(score), pa.array(key)], schema=arrow).to_batches()
-        return drawn.mapInArrow(run, schema)
+        return drawn.mapInArrow(releasing(run), schema)
 
     def sample(self, docs: DataFrame) -> DataFrame:
         """The documents drawn, with ``__score`` and ``__key``."""

@@ -18,6 +18,7 @@ from starmart.llm import (
 from starmart.llm import words as words_module
 from starmart.llm.common import mix64, scratch_path, table
 from starmart.llm.queries import ORACLE_SQL, QUERIES, tokenizer_path
+from starmart.llm.common import releasing
 from starmart.llm.tokens import Encoder
 from starmart.llm.words import NEXT, shingles, words
 
@@ -613,3 +614,23 @@ def test_near_duplicate_and_repeat_queries_equal_brute_force(spark, sf_dir):
     result = QUERIES["op6_bwt_dedup"](spark, sf_dir).collect()
     expected = Counter((r[0], *x) for r, x in zip(rows, brute_repeats([t for _, t, _ in rows])))
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in result) == expected
+
+
+# --- memory of workers
+
+def test_a_task_hands_back_the_memory_it_freed():
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    pinned = []
+
+    def run(batches):
+        for batch in batches:
+            made = [bytes(2000) for _ in range(100_000)]
+            pinned.append(made[-1])  # what lies before it is freed, but not the end of the heap
+            yield batch + 1
+
+    before = resident()
+    assert list(releasing(run)(iter([1, 2]))) == [2, 3]
+    assert resident() - before < 100 << 20
