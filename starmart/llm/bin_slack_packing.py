@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
+from starmart.llm.common import releasing
 from starmart.llm.tokens import binary, encode_batches
 
 CAPACITY = 1024
@@ -139,4 +140,4 @@ def ids_crc32(packed: DataFrame, keep: list[str]) -> DataFrame:
                     for b, n in zip(batch.column("ids").to_pylist(), lengths)]
             yield from pa.table([*[batch.column(c) for c in keep], pa.array(crcs, pa.int64())],
                                 schema.names).cast(arrow).to_batches()
-    return packed.select(*keep, "ids").mapInArrow(run, schema)
+    return packed.select(*keep, "ids").mapInArrow(releasing(run), schema)

@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from starmart.llm.common import ranked, stored
+from starmart.llm.common import ranked, release, stored
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
@@ -126,7 +126,12 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         .withColumn("mass", F.when((part <= 1e-12) | (part > 1 - 1e-12), 0.0).otherwise(part * F.col("size")))
         .withColumn("open", F.col("mass") > 0).select(*names)
     )
-    run = lambda rows: settle(rows, seed)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        made = settle(rows, seed)
+        release()
+        return made
+
     state = stored(state.groupBy("block").applyInPandas(run, schema), "mix")
     done, left = state.where("not open"), state.where("open")
     while blocks > 1:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
-from starmart.llm.common import stored
+from starmart.llm.common import releasing, stored
 from starmart.llm.words import slices
 
 #: Forms of address and the gender they tell (m, f, or n for either).
@@ -232,7 +232,7 @@ def surrogates(values: DataFrame, key: bytes) -> DataFrame:
 
     def drawn(rows: DataFrame) -> DataFrame:
         return rows.select("kind", "value", "style", "attempt").mapInArrow(
-            draw, "kind string, value string, style string, attempt int, surrogate string")
+            releasing(draw), "kind string, value string, style string, attempt int, surrogate string")
 
     taken = values.select("kind", F.col("value").alias("surrogate"), F.lit(True).alias("real"))
     settled, table = None, drawn(values.withColumn("attempt", F.lit(0)))
@@ -278,7 +278,7 @@ def replace(docs: DataFrame, key: bytes, text: str = "text", count: str | None =
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(4)], ["digest", "kind", "value", "hint"])
 
     found = stored(close.select(digest.alias("digest"), F.col(text).alias("t")).mapInArrow(
-        find, "digest string, kind string, value string, hint string").distinct(), "entities")
+        releasing(find), "digest string, kind string, value string, hint string").distinct(), "entities")
     table = surrogates(styled(found), key)
     known = (found.join(table, ["kind", "value"]).groupBy("digest").agg(
         F.collect_set(F.struct("kind", "value", "surrogate")).alias("__pii_known")).withColumnRenamed("digest", "__pii_digest"))
@@ -302,5 +302,5 @@ def replace(docs: DataFrame, key: bytes, text: str = "text", count: str | None =
             columns[at] = pa.array(texts, columns[at].type)
             yield from pa.Table.from_arrays([*columns, pa.array(counts, pa.int64())], names=schema.names).cast(arrow).to_batches()
 
-    done = joined.mapInArrow(put, schema).unionByName(docs.where(~trigger).withColumn("__pii_count", F.lit(0).cast("long")))
+    done = joined.mapInArrow(releasing(put), schema).unionByName(docs.where(~trigger).withColumn("__pii_count", F.lit(0).cast("long")))
     return done.withColumnRenamed("__pii_count", count) if count else done.drop("__pii_count")

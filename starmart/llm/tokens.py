@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from starmart.llm.common import releasing
 from starmart.llm.words import slices
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -30,7 +31,7 @@ PLAIN = re.compile(LETTER)
 MARKS = string.punctuation
 ONLY_MARKS = rf"^[{re.escape(MARKS)}]*$"
 SAMPLES = ["hello", "Hello", "\u00e9lan", "gr\u00fc\u00dfe", "THE", "xqzjw", "end.", "Ende,***", "it!!"]
-PIECES_KEPT = 400_000
+PIECES_KEPT = 100_000
 LONGEST_KEPT = 64
 SLICE_BYTES = 1 << 22
 #: White space that is no single space or line feed between visible characters.
@@ -224,4 +225,4 @@ def encode_batches(path: str, text: str, end_id: int,
             for start, stop in slices(batch.column(batch.schema.get_field_index(text)), SLICE_BYTES):
                 part = pa.Table.from_batches([batch.slice(start, stop - start)])
                 yield from emit(part, *own.encode_all(part.column(text).combine_chunks(), end_id)).to_batches()
-    return run
+    return releasing(run)

@@ -19,6 +19,7 @@ from starmart.llm import words as words_module
 from starmart.llm.common import mix64, scratch_path, table
 from starmart.llm.queries import ORACLE_SQL, QUERIES, tokenizer_path
 from starmart.llm.common import releasing
+from starmart.llm import tokens as tokens_module
 from starmart.llm.tokens import Encoder
 from starmart.llm.words import NEXT, shingles, words
 
@@ -634,3 +635,25 @@ def test_a_task_hands_back_the_memory_it_freed():
     before = resident()
     assert list(releasing(run)(iter([1, 2]))) == [2, 3]
     assert resident() - before < 100 << 20
+
+
+def test_an_encoding_task_hands_back_the_memory_it_freed():
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    tokens_module.encoder(path).encode(["a word to warm up with"])
+    run = tokens_module.encode_batches(path, "text", 0, lambda rows, ids, offsets: pa.table({"n": np.diff(offsets)}))
+
+    def batches():
+        rng = np.random.default_rng(3)
+        for _ in range(4):  # nearly every word is new, as with misspellings in a large corpus
+            words = rng.integers(97, 123, (100, 2000, 7), dtype=np.uint8)
+            words[:, :, 6] = 32
+            yield pa.RecordBatch.from_pydict({"text": [bytes(text.ravel()[:-1]).decode() for text in words]})
+
+    before = resident()
+    assert sum(batch.num_rows for batch in run(batches())) == 400
+    assert len(tokens_module.encoder(path).known) <= 3 * tokens_module.PIECES_KEPT
+    assert resident() - before < 60 << 20
