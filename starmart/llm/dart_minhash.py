@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from starmart.llm.common import mix64, releasing, stored, unit
+from starmart.llm.common import bucketed, mix64, releasing, stored, unit
 from starmart.llm.graph import components
 from starmart.llm.words import shingles, slices, words
 
@@ -197,10 +197,19 @@ def jaccard(a: bytes, b: bytes, wa: bytes = b"", wb: bytes = b"", least: float =
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
-    """The pairs (a, b) of at least the given similarity. A set that meets many others is sent once per chunk of them."""
-    many = stored(pairs.groupBy("a").agg(F.count("*").alias("n")), "fan")
-    chunked = stored(
-        pairs.join(many, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / CHUNK))).select("a", "chunk", "b"), "chunks")
+    """The pairs of at least the given similarity, as links (a, b).
+
+    The end that meets more sets is the centre, and is sent once per chunk of them; so no set is sent often as a member.
+    """
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    many = stored(ends.groupBy("node").agg(F.count("*").alias("n")), "fan")
+    for end in ("a", "b"):
+        pairs = pairs.join(many.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}")), end)
+    turned = F.col("n_b") > F.col("n_a")
+    chunked = stored(pairs.select(
+        F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"),
+        F.greatest("n_a", "n_b").alias("n")).withColumn("chunk", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / CHUNK)))
+        .select("a", "chunk", "b"), "chunks")
     members = chunked.join(sets.withColumnRenamed("key", "b"), "b").select("a", "chunk", F.lit(1).alias("kind"), "b", "shingles", "weights")
     centres = (chunked.select("a", "chunk").distinct().join(sets.withColumnRenamed("key", "a"), "a")
                .select("a", "chunk", F.lit(0).alias("kind"), F.col("a").alias("b"), "shingles", "weights"))
@@ -304,9 +313,23 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
             by_count: bool = False) -> DataFrame:
     """doc_id, class_id, copies of the class, and a flag on the one document of each class to keep."""
     names = stored(set_keys(docs, doc_id, text, size, by_count).withColumn("row", F.monotonically_increasing_id()), "names")
-    # One grouping on the sets' keys, combined before the shuffle: copies of a text never travel with their shingles.
-    keys = stored(sketch(docs, text, size, by_count).groupBy("key").agg(
-        *[F.any_value(c).alias(c) for c in ("bands", "shingles", "weights")]), "keys")
+    # One grouping on the sets' keys, combined before the shuffle: copies of a text never travel with their shingles. The
+    # sets stay in the buckets it dealt them to, so pairs go to the shingles and not the shingles to the pairs.
+    grouped = sketch(docs, text, size, by_count).groupBy("key").agg(*[F.any_value(c).alias(c) for c in ("bands", "shingles", "weights")])
+    with bucketed(grouped, "key", "keys") as keys:
+        label = linked(keys, similar)
+    spread = names.join(label, F.col("key") == F.col("node"), "left")
+    own = F.concat(F.lit("row"), F.col("row").cast("string")).cast("binary")
+    group = stored(spread.select("doc_id", "row", F.coalesce("label", "key", own).alias("group")), "groups")
+    least = group.groupBy("group").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"), F.count("*").alias("class_size"))
+    return (group.join(stored(least, "classes"), "group")
+            .select("doc_id", F.col("first.doc_id").alias("class_id"), "class_size",
+                    (F.col("row") == F.col("first.row")).alias("keep")))
+
+
+def linked(keys: DataFrame, similar: float) -> DataFrame:
+    """node, label: the sets that are similar to another, and the least key of their class. ``keys`` has key, bands, shingles, weights."""
     members = keys.select("key", F.explode("bands").alias("band"))
     sizes = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(members.join(sizes, "band"), "members")
@@ -363,11 +386,4 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
             label = components(links)
     if label is None:
         label = links.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    spread = names.join(label, F.col("key") == F.col("node"), "left")
-    own = F.concat(F.lit("row"), F.col("row").cast("string")).cast("binary")
-    group = stored(spread.select("doc_id", "row", F.coalesce("label", "key", own).alias("group")), "groups")
-    least = group.groupBy("group").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"), F.count("*").alias("class_size"))
-    return (group.join(stored(least, "classes"), "group")
-            .select("doc_id", F.col("first.doc_id").alias("class_id"), "class_size",
-                    (F.col("row") == F.col("first.row")).alias("keep")))
+    return label

@@ -657,3 +657,44 @@ def test_an_encoding_task_hands_back_the_memory_it_freed():
     assert sum(batch.num_rows for batch in run(batches())) == 400
     assert len(tokens_module.encoder(path).known) <= 3 * tokens_module.PIECES_KEPT
     assert resident() - before < 60 << 20
+
+
+def test_pairs_go_to_the_sets_and_sets_stay(make, monkeypatch):
+    """Shingles of sets without a pair are never shuffled again: the stored sets are read in their buckets."""
+    near = [(i, f"{prose(900, 150)} tail {i}", "s") for i in range(6)]
+    plans = []
+    real = dart_minhash.verified
+
+    def spied(pairs, sets, similar):
+        links = real(pairs, sets, similar)
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return links
+
+    monkeypatch.setattr(dart_minhash, "verified", spied)
+    docs = make([*near, *[(100 + i, prose(i, 60), "s") for i in range(40)]])
+    spark = docs.sparkSession
+    monkeypatch.setattr(dart_minhash, "CHUNK", 2)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = {t.name for t in spark.catalog.listTables()}
+        got = {r.doc_id: r.class_id for r in dart_minhash.classes(docs).collect()}
+        assert {t.name for t in spark.catalog.listTables()} == before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == {i: 0 for i in range(6)} | {100 + i: 100 + i for i in range(40)}
+    assert plans and all(plan.count("SelectedBucketsCount") == 2 for plan in plans)
+
+
+def test_the_hotter_end_of_a_pair_is_its_centre(spark, monkeypatch):
+    """One set is the second end of many pairs: it is sent once per chunk of them, not once per pair."""
+    monkeypatch.setattr(dart_minhash, "CHUNK", 4)
+    sets = [(bytes([i]), np.arange(50 + (i > 0), dtype="<u4").tobytes(), b"") for i in range(20)]
+    stored_frames = {}
+    real = dart_minhash.stored
+    monkeypatch.setattr(dart_minhash, "stored", lambda frame, tag, **more: stored_frames.setdefault(tag, real(frame, tag, **more)))
+    frame = spark.createDataFrame([tuple(map(bytearray, s)) for s in sets], "key binary, shingles binary, weights binary")
+    pairs = spark.createDataFrame([(bytearray([i]), bytearray([0])) for i in range(1, 20)], "a binary, b binary")
+    links = dart_minhash.verified(pairs, frame, 0.8).collect()
+    assert sorted(bytes(r.b) for r in links) == [bytes([i]) for i in range(1, 20)] and {bytes(r.a) for r in links} == {b"\0"}
+    assert max(r["count"] for r in stored_frames["chunks"].groupBy("b").count().collect()) == 1
