@@ -2,10 +2,11 @@
 
 Tokenizers split text before they merge, and between two visible characters a single space always starts a new piece
 and a single line feed always is one. So the texts of a slice are cut there by Arrow, the pieces are dictionary-encoded,
-split into its word and the signs behind it, and each distinct word is looked up once (and encoded once per worker); Arrow
-joins words and signs to pieces and puts the ids of all texts together, so Python sees distinct words only. A word of plain
-letters goes straight to the tokenizer's model, which spares the slow splitting; whether that gives the same ids is tried
-on samples first. Texts with other white space are cut one by one.
+split into its word and the signs behind it, and each distinct word is looked up once; Arrow joins words and signs to pieces
+and puts the ids of all texts together, so Python sees only words that the worker does not know. It keeps the words it met
+as Arrow columns of bounded length; when they are full, the half met in most slices stays. A word of plain letters goes
+straight to the tokenizer's model, which spares the slow splitting; whether that gives the same ids is tried on samples
+first. Texts with other white space are cut one by one.
 Texts that hold the string of a special token go whole to the tokenizer, which gives its id as it does by default; with
 ``special=False`` such strings are ordinary text.
 """
@@ -23,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from starmart.llm.common import releasing
-from starmart.llm.words import slices
+from starmart.llm.words import raw, slices
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
 LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
@@ -31,7 +32,8 @@ PLAIN = re.compile(LETTER)
 MARKS = string.punctuation
 ONLY_MARKS = rf"^[{re.escape(MARKS)}]*$"
 SAMPLES = ["hello", "Hello", "\u00e9lan", "gr\u00fc\u00dfe", "THE", "xqzjw", "end.", "Ende,***", "it!!"]
-PIECES_KEPT = 100_000
+PIECES_KEPT = 1 << 18
+MARKS_KEPT = 1000
 LONGEST_KEPT = 64
 SLICE_BYTES = 1 << 22
 #: White space that is no single space or line feed between visible characters.
@@ -46,6 +48,45 @@ def byte_letters() -> dict[int, str]:
 
 
 LETTERS = byte_letters()
+CODES = np.array([ord(LETTERS[b]) for b in range(256)], "<u2")
+
+
+def spelled(data: bytes | np.ndarray) -> str:
+    """UTF-8 bytes in the vocabulary's letters."""
+    return CODES[np.frombuffer(data, np.uint8)].tobytes().decode("utf-16-le")
+
+
+class Known:
+    """Texts met before with their ids, ``limit`` at most after each slice."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.names, self.ids, self.met = pa.array([], pa.large_string()), pa.array([], pa.large_binary()), np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def ids_of(self, texts: pa.Array, encode: Callable[[pa.Array], pa.Array]) -> pa.Array:
+        """The ids of each text; the distinct ones that are not known are encoded."""
+        coded = texts.dictionary_encode()
+        names = coded.dictionary
+        place = pc.index_in(names, value_set=self.names)
+        fresh = place.is_null()
+        new = names.filter(fresh)
+        made = encode(new)
+        ids = pa.concat_arrays([self.ids, made])
+        at = place.fill_null(0).to_numpy().astype(np.int64)
+        fresh = fresh.to_numpy(zero_copy_only=False)
+        self.met[at[~fresh]] += 1
+        at[fresh] = len(self.ids) + np.arange(len(new))
+        short = pc.less_equal(pc.binary_length(new), LONGEST_KEPT)
+        self.names = pa.concat_arrays([self.names, new.filter(short)])
+        self.ids = pa.concat_arrays([self.ids, made.filter(short)])
+        self.met = np.append(self.met, np.zeros(len(self.names) - len(self.met), np.int64))
+        if len(self.names) > self.limit:
+            often = np.sort(np.argsort(-self.met, kind="stable")[:self.limit // 2])
+            self.names, self.ids, self.met = self.names.take(pa.array(often)), self.ids.take(pa.array(often)), self.met[often] // 2
+        return ids.take(pa.array(at).take(coded.indices))
 
 
 class Encoder:
@@ -61,7 +102,8 @@ class Encoder:
         self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.code, self.dtype = "H" if self.width == 2 else "I", np.dtype(f"<u{self.width}")
-        self.known, self.marks = {}, {}
+        self.marks = {}  # of texts that are cut one by one
+        self.known, self.known_marks = Known(PIECES_KEPT), Known(MARKS_KEPT)
         self.line = self.whole("\n")
         self.lower = None  # how a plain word reaches the model; None if neither way gives the samples' ids
         for lower in (False, True):
@@ -75,11 +117,7 @@ class Encoder:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def word(self, word: str) -> bytes:
-        """A plain word, with the space before it if the model has one, by the model alone."""
-        if word[:1] == " " and word.isascii():
-            word = LETTERS[32] + word[1:]
-        elif not word.isascii() or not word.isalpha():
-            word = word.encode().decode("latin-1").translate(LETTERS)
+        """A plain word, spelled in the vocabulary's letters and with the space before it if the model has one, by the model alone."""
         return array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def split(self, piece: str) -> tuple[str, str] | None:
@@ -95,41 +133,40 @@ class Encoder:
             return self.whole(before + piece)
         word, mark = plain
         if mark and mark not in self.marks:
-            if len(self.marks) >= 1000:
+            if len(self.marks) >= MARKS_KEPT:
                 self.marks.clear()
             self.marks[mark] = self.whole(mark)
-        ids = self.word(word.lower() if self.lower else before + word)
+        ids = self.word(spelled((word.lower() if self.lower else before + word).encode()))
         return ids + self.marks[mark] if mark else ids
 
-    def looked_up(self, texts: pa.Array, encode: Callable[[str], bytes], known: dict[str, bytes]) -> pa.Array:
-        """The ids of each text; a distinct one is encoded if it is not known."""
-        coded = texts.dictionary_encode()
-        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        found = list(map(known.get, names))
-        for i, ids in enumerate(found):
-            if ids is None:
-                found[i] = ids = encode(names[i])
-                if len(names[i]) <= LONGEST_KEPT:
-                    known[names[i]] = ids
-        return pa.array(found, pa.large_binary()).take(coded.indices)
-
-    def pieces(self, names: pa.Array, before: str) -> pa.Array:
-        """The ids of pieces, all with or all without a space before."""
+    def words(self, words: pa.Array) -> pa.Array:
+        """The ids of a column of plain words; none has a line feed."""
+        data, _ = raw(pc.binary_join_element_wise(words, pa.scalar("\n", words.type), pa.scalar("", words.type)))
+        ids, offsets = bytearray(), [0]
+        for word in spelled(data).split(LETTERS[10])[:-1]:
+            ids += self.word(word)
+            offsets.append(len(ids) // self.width)
+        return binary(np.frombuffer(ids, self.dtype), np.array(offsets))
+
+    def wholes(self, texts: pa.Array) -> pa.Array:
+        return pa.array([self.whole(t) for t in texts.to_pylist()], pa.large_binary())
+
+    def pieces(self, names: pa.Array, before: pa.Array) -> pa.Array:
+        """The ids of pieces with what stands before each, a space or nothing."""
+        nothing = pa.scalar("", names.type)
         if self.lower is None:
-            return pa.array([self.whole(before + name) for name in names.to_pylist()], pa.large_binary())
+            return self.wholes(pc.binary_join_element_wise(before, names, nothing))
         mark = pc.replace_substring_regex(names, f"^{LETTER}", "")
         plain = pc.and_(pc.match_substring_regex(mark, ONLY_MARKS), pc.less(pc.binary_length(mark), pc.binary_length(names)))
-        word, mark = pc.utf8_rtrim(names.filter(plain), MARKS), mark.filter(plain)
-        word = pc.utf8_lower(word) if self.lower else pc.binary_join_element_wise(pa.scalar(before, word.type), word, pa.scalar("", word.type))
-        if len(self.marks) >= 1000:
-            self.marks.clear()
+        word, mark, other = pc.utf8_rtrim(names.filter(plain), MARKS), mark.filter(plain), pc.invert(plain)
+        word = pc.utf8_lower(word) if self.lower else pc.binary_join_element_wise(before.filter(plain), word, nothing)
         made = pc.binary_join_element_wise(
-            self.looked_up(word, self.word, self.known), self.looked_up(mark, self.whole, self.marks), pa.scalar(b"", pa.large_binary()))
-        others = [self.whole(before + name) for name in names.filter(pc.invert(plain)).to_pylist()]
+            self.known.ids_of(word, self.words), self.known_marks.ids_of(mark, self.wholes), pa.scalar(b"", pa.large_binary()))
+        others = self.wholes(pc.binary_join_element_wise(before.filter(other), names.filter(other), nothing))
         order = np.argsort(~np.asarray(plain), kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        return pa.concat_arrays([made, pa.array(others, pa.large_binary())]).take(pa.array(place))
+        return pa.concat_arrays([made, others]).take(pa.array(place))
 
     def odd_text(self, text: str | None) -> bytes:
         """A text with other white space, special strings, or nothing in it."""
@@ -154,8 +191,6 @@ class Encoder:
         """
         texts = texts.cast(pa.large_string()).fill_null("")
         simple = self.simple(texts)
-        if len(self.known) > PIECES_KEPT:
-            self.known = {}
         # Cut: a piece is a word or a line feed; the first of a text and those behind a line feed have no space before.
         cut = pc.split_pattern(pc.replace_substring(texts.filter(pa.array(simple)), "\n", " \n "), " ")
         pieces, stops = cut.values.dictionary_encode(), np.asarray(cut.offsets)[1:].astype(np.int64)
@@ -167,15 +202,14 @@ class Encoder:
             bare[1:] = codes[:-1] == line
             bare[stops[:-1]] = True
         # Distinct entries: pieces with a space before, pieces without, the line feed, the end, and odd texts.
-        place, entry = np.zeros((2, len(names)), np.int64), 0
-        made = []
-        for column, before in ((0, " "), (1, "")):
-            seen = np.zeros(len(names), bool)
-            seen[codes[bare == column]] = True
-            seen[line if line >= 0 else []] = False
-            made.append(self.pieces(names.filter(pa.array(seen)), before))
-            place[column, seen] = entry + np.arange(len(made[-1]))
-            entry += len(made[-1])
+        seen = np.zeros((2, len(names)), bool)
+        seen[bare.astype(np.int64), codes] = True
+        seen[:, line if line >= 0 else []] = False
+        column, name = np.nonzero(seen)
+        made = [self.pieces(names.take(pa.array(name)), pa.array([" ", ""], names.type).take(pa.array(column)))]
+        entry = len(name)
+        place = np.zeros(seen.shape, np.int64)
+        place[seen] = np.arange(entry)
         if line >= 0:
             place[:, line] = entry
         end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()

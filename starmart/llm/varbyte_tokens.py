@@ -34,17 +34,21 @@ SEGMENT_DOCS = 2048
 SEGMENT_IDS = 1 << 20
 
 #: Lengths of the four values behind each control byte, and their sum.
-LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
+LENGTHS = (((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1).astype(np.uint8)
 
 
 def encode_ranks(ranks: np.ndarray) -> bytes:
     """Control bytes, then data bytes."""
     ranks = ranks.astype("<u4")
-    extra = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    extra = (ranks > 0xFF).astype(np.uint8)
+    width = 2 if ranks.max(initial=0) <= 0xFFFF else 4
+    if width == 4:
+        extra += ranks > 0xFFFF
+        extra += ranks > 0xFFFFFF
     padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     padded[:len(ranks)] = extra
     control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8)
-    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
+    data = ranks.astype(f"<u{width}").view(np.uint8)[(np.arange(width) <= extra[:, None]).ravel()]
     return control.tobytes() + data.tobytes()
 
 
@@ -52,9 +56,9 @@ def decode_ranks(raw: bytes | memoryview, n: int) -> np.ndarray:
     control = np.frombuffer(raw, np.uint8, -(-n // 4))
     data = np.frombuffer(raw, np.uint8, offset=len(control))
     lengths = LENGTHS[control].ravel()[:n]
-    starts = np.cumsum(lengths) - lengths
-    ranks = np.zeros(n, np.uint32)
-    for byte in range(4):
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
+    ranks = data[starts].astype(np.uint32)
+    for byte in range(1, lengths.max(initial=0)):
         has = np.flatnonzero(lengths > byte)
         ranks[has] |= data[starts[has] + byte].astype(np.uint32) << np.uint32(8 * byte)
     return ranks
@@ -161,11 +165,10 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 counts, ranks = read_segment(one.column("payload")[0].as_py())
                 ids = id_of[ranks]
                 stops = np.cumsum(counts.astype(np.int64))
-                bodies = [ids[a:b].tobytes() for a, b in zip(stops - counts, stops)]
                 yield from pa.table([
                     one.column("doc_ids").values.slice(one.column("doc_ids").offsets[0].as_py(), len(counts)),
                     pa.array(one.column("start")[0].as_py() + stops - counts), pa.array(counts.astype(np.int64)),
-                    pa.array(bodies, pa.binary())], out.names).cast(arrow).to_batches()
+                    binary(ids, np.append(0, stops))], out.names).cast(arrow).to_batches()
     return placed.mapInArrow(read, out)
 
 

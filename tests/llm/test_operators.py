@@ -87,6 +87,18 @@ def test_a_word_is_encoded_once_wherever_it_stands(monkeypatch):
     assert sorted(seen) == ["quince", "sable"]
 
 
+def test_frequent_words_stay_known_in_a_full_store(monkeypatch):
+    monkeypatch.setattr("starmart.llm.tokens.PIECES_KEPT", 8)
+    encoder, seen = Encoder(tokenizer_path("word_bpe_49k.json")), []
+    word = encoder.word
+    monkeypatch.setattr(encoder, "word", lambda text: seen.append(text) or word(text))
+    for k in range(20):
+        text = f"sable quince, {' '.join('v' * (k + 1) + end for end in 'abc')} {'z' * 80} Sable"
+        assert np.frombuffer(encoder.encode([text])[0], encoder.dtype).tolist() == encoder.tokenizer.encode(text).ids
+        assert len(encoder.known) <= 8
+    assert seen.count("sable") == seen.count("quince") == 1
+
+
 # --- 1
 
 def brute_classes(rows):
