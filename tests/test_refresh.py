@@ -186,3 +186,27 @@ def test_repeated_batch_replaces_what_it_wrote(spark, tmp_path):
         os.remove(f"{check}/commits/{name}")
     daily_counts.run(daily_counts.read_events(spark, source), out, check)
     assert [(str(r.date), r.checkin_count) for r in daily_counts.current(spark, out).collect()] == [("2020-01-01", 3)]
+
+
+def test_state_lies_on_disk_and_older_checkpoints_go_on(spark, tmp_path):
+    """State in RocksDB, whatever the session says; a checkpoint begun with the store on the heap keeps it."""
+    import contextlib
+    from pathlib import Path
+    key = "spark.sql.streaming.stateStore.providerClass"
+    said = spark.conf.get(key, None)
+
+    def deliver(root):
+        spark.createDataFrame([("b", "2020-01-01 00:00:00", "checkin", None, None)] * 3, daily_counts.EVENT).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        daily_counts.run(daily_counts.read_events(spark, f"{root}/in"), f"{root}/out", f"{root}/check")
+        return {p.suffix for p in Path(f"{root}/check/state").rglob("[0-9]*.*") if not p.name.endswith(".crc")}
+
+    new, old = str(tmp_path / "new"), str(tmp_path / "old")
+    assert deliver(new) == {".zip", ".sst"} and spark.conf.get(key, None) == said
+    on_disk, daily_counts.state_on_disk = daily_counts.state_on_disk, lambda session: contextlib.nullcontext()
+    try:
+        assert ".delta" in deliver(old)
+    finally:
+        daily_counts.state_on_disk = on_disk
+    for root in (new, old):
+        assert (".delta" in deliver(root)) == (root == old)
+        assert [r.checkin_count for r in daily_counts.current(spark, f"{root}/out").collect()] == [6]
