@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from starmart.operators import bridges, dimensions as dims, events, facts
 from starmart.operators.keys import assert_unique
-from starmart.sinks.tables import write_table
+from starmart.operators.skew import partitions
+from starmart.sinks.tables import write_placed, write_table
 from starmart.sources.star_tables import read_table
 
 ACTIVITY = "activity/Daily_Activity"
+UNKNOWN_USERS = "activity/Unknown_Users"
 #: Facts that dashboards filter by business, laid out so that such a filter skips most files.
 CLUSTERED = {
     "manager/Fact_Business_Performance": ["business_id", "month_id"],
@@ -37,8 +39,8 @@ def build_star_schema(
     an unreadable date, and of those kept without a business; they are counted
     while the events are read for the build itself.
 
-    The events are read once into daily counters, and most tables come from
-    those. Tables are built from stored tables rather than from recomputed
+    The events are rolled up once into daily counters that lie by business, and
+    most tables come from those without another shuffle. Tables are built from stored tables rather than from recomputed
     plans, so a lost executor costs a task and not a lineage. Tables that do
     not need one another are written by concurrent jobs.
     """
@@ -55,19 +57,22 @@ def build_star_schema(
         return read_table(spark, run, name)
 
     def activity() -> DataFrame:
-        written[ACTIVITY].result()
-        return spark.read.parquet(f"{run}/{ACTIVITY}")
+        return written[ACTIVITY].result()
 
     def daily() -> DataFrame:
-        rows = events.activity_rows(review, checkin, tip, score_col)
-        return events.daily_activity(rows.observe(seen, *events.audit_counts(rows)))
+        buckets = partitions(review)
+        days = events.placed_daily_activity(review, checkin, tip, buckets, score_col)
+        return write_placed(days.observe(seen, *events.audit_counts(days)), f"{run}/{ACTIVITY}", "business_id", buckets)
+
+    def unknown_users() -> DataFrame:
+        written[UNKNOWN_USERS].result()
+        return spark.read.schema("user_id string").parquet(f"{run}/{UNKNOWN_USERS}")
 
     def keyed_business() -> DataFrame:
         return assert_unique(stored("investor/Dim_Business"), ["business_nk"], "investor/Dim_Business")
 
     # In this order each table comes after those it is built from.
     tables = {
-        ACTIVITY: daily,
         "marketing/DimDate": lambda: dims.dim_date(events.timestamp_dates(review, checkin, tip), "marketing"),
         "marketing/DimBusiness": lambda: dims.dim_business_profile(business),
         "marketing/DimUser": lambda: dims.dim_user(user),
@@ -75,10 +80,11 @@ def build_star_schema(
         "investor/Dim_Category": lambda: dims.dim_category_keys(business),
         "manager/Dim_Category": lambda: dims.dim_category(business),
         "manager/Dim_Location": lambda: dims.dim_location(business),
+        UNKNOWN_USERS: lambda: facts.unknown_keys(review, stored("marketing/DimUser"), "user_id"),
         "marketing/DimReview": lambda: dims.dim_review(review),
         "marketing/FactCustomerEngagement": lambda: facts.engagement_fact(
             review, tip, checkin,
-            stored("marketing/DimDate"), stored("marketing/DimUser"), stored("marketing/DimBusiness"),
+            stored("marketing/DimDate"), stored("marketing/DimUser"), stored("marketing/DimBusiness"), unknown_users(),
         ),
         "investor/Dim_Business": lambda: dims.dim_business_location(business, stored("investor/Dim_Location")),
         "investor/Dim_Date": lambda: dims.dim_date(events.review_checkin_dates(activity()), "investor"),
@@ -101,10 +107,11 @@ def build_star_schema(
         "operations/Fact_Operational_Performance": lambda: facts.operational_daily_fact(activity(), rolled=True),
     }
     with ThreadPoolExecutor(parallel) as pool:
+        written[ACTIVITY] = pool.submit(daily)
         for name, table in tables.items():
             written[name] = pool.submit(lambda n=name, make=table: write_table(
-                make(), f"{run}/{n}", cluster_by=CLUSTERED.get(n)))
-    counts = {name: job.result() for name, job in written.items() if name != ACTIVITY}
+                make(), f"{run}/{n}", cluster_by=CLUSTERED.get(n), placed=True))
+    counts = {name: job.result() for name, job in written.items() if not name.startswith("activity/")}
     publish(spark, run, out)
     if audit is not None:
         for source in events.SOURCE_COUNTERS:

@@ -260,3 +260,106 @@ def test_lines_are_joined_to_their_orders_once(spark, sf_dir, tmp_path):
     for name, frame in samples.sources(spark, sf_dir).items():
         assert frame.schema == found[name].schema and frame.exceptAll(found[name]).isEmpty() and frame.count() == found[name].count()
     assert "orders" not in found["review"]._jdf.queryExecution().executedPlan().toString().replace("order_lines", "")
+
+
+@pytest.fixture
+def made(spark, tmp_path):
+    """Reviews, check-ins and tips of 40 businesses, one of them with a third of the events; some keys unknown, missing or bad."""
+    n = F.col("id")
+    business = F.when(n % 3 == 0, "b0").when(n % 50 == 1, None).otherwise(F.concat(F.lit("b"), n % 41))
+    day = F.when(n % 60 == 7, "no date").otherwise(F.concat(F.lit("2020-0"), n % 9 + 1, F.lit("-1"), n % 7, F.lit(" 10:00:00")))
+    rows = spark.range(3000).select(
+        F.when(n % 45 != 2, F.concat(F.lit("r"), n)).alias("review_id"), F.when(n % 30 != 4, F.concat(F.lit("u"), n % 23)).alias("user_id"),
+        business.alias("business_id"), F.when(n % 11 != 3, (n % 5 + 1).cast("double")).alias("stars"), n.alias("useful"), n.alias("funny"),
+        n.alias("cool"), day.alias("date"), F.when(n % 4 != 0, (n % 8) / 8).alias("score"))
+    frames = {"review": rows, "tip": rows.where(n % 2 == 0).select("user_id", "business_id", "date"),
+              "checkin": rows.where(n % 5 == 0).select("business_id", F.concat("date", F.lit(", 2020-03-04 05:06:07")).alias("date")),
+              "users": spark.range(20).select(F.concat(F.lit("u"), "id").alias("user_id")),
+              "businesses": spark.range(38).select(F.concat(F.lit("b"), "id").alias("business_id"))}
+    for name, frame in frames.items():
+        frame.repartition(3).write.parquet(f"{tmp_path}/made/{name}")
+    return {name: spark.read.parquet(f"{tmp_path}/made/{name}") for name in frames}
+
+
+def rows_of(frame):
+    return sorted(map(repr, frame.collect()))
+
+
+def exchanges(frame) -> list[str]:
+    """The exchanges of the plan as first made, without broadcasts."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"Exchange (?:hash|range|Round|Single)[^\[]*", plan)
+
+
+def test_days_that_lie_by_business_are_not_shuffled_again(spark, made, tmp_path, conf):
+    from starmart.operators import dimensions as dims
+    from starmart.sinks.tables import write_placed
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="8")
+    sources = [made[name] for name in ("review", "checkin", "tip")]
+    plain = events.daily_activity(events.activity_rows(*sources, score_col="score"))
+    days = events.placed_daily_activity(*sources, 8, "score")
+    assert sum("business_id" in e and "date" not in e for e in exchanges(days)) == 1
+    tables = spark.catalog.listTables()
+    stored = write_placed(days, str(tmp_path / "days"), "business_id", 8)
+    assert spark.catalog.listTables() == tables
+    assert stored.schema.simpleString() == plain.schema.simpleString() and rows_of(stored) == rows_of(plain)
+    for build in (facts.monthly_fact, lambda a: facts.operational_daily_fact(a, rolled=True), events.business_review_stats):
+        assert exchanges(build(stored)) == [] and rows_of(build(stored)) == rows_of(build(plain))
+    keys = made["businesses"].select(F.col("business_id").alias("business_nk"), (F.crc32("business_id") * 7).alias("business_key"))
+    calendar = dims.dim_date(events.review_checkin_dates(stored), "investor")
+    daily = facts.daily_fact(stored, keys, calendar, rolled=True)
+    assert rows_of(daily) == rows_of(facts.daily_fact(plain, keys, calendar)) and daily.count() > 100
+    assert not [e for e in exchanges(daily) if "date" in e and "bucket" in e]
+    moved = [line for line in daily._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines()
+             if "Exchange hashpartitioning(bucket" in line]
+    assert moved  # the businesses, a row each, and not their days
+
+
+def test_reviews_meet_businesses_and_tips_in_one_shuffle(spark, made, tmp_path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="8")
+    review, tip, checkin, users, businesses = (made[n] for n in ("review", "tip", "checkin", "users", "businesses"))
+    days = spark.sql("select explode(sequence(date '2020-01-01', date '2020-12-31')) as full_date")
+    tipped = tip.groupBy("user_id", "business_id").agg(F.count(F.lit(1)).alias("tip_count"))
+    listed = checkin.groupBy("business_id").agg(F.sum(F.size(F.split("date", ", "))).alias("checkin_count"))
+    plain = (review.where("date != 'no date'").join(users, "user_id").join(businesses, "business_id")
+             .join(tipped, ["user_id", "business_id"], "left").join(listed, "business_id", "left")
+             .selectExpr("review_id", "user_id", "business_id", "cast(date_format(date, 'yyyyMMdd') as int) as date_id", "cast(stars as int) as stars",
+                         "useful as useful_votes", "funny as funny_votes", "cool as cool_votes", "coalesce(tip_count, 0) as tip_count",
+                         "cast(coalesce(checkin_count, 0) as bigint) as checkin_count"))
+    unknown = facts.unknown_keys(review, users, "user_id")
+    assert rows_of(unknown) == rows_of(spark.createDataFrame([("u20",), ("u21",), ("u22",)], "user_id string"))
+    for dim, name in ((users, "some"), (review.select("user_id"), "none")):
+        write_table(facts.unknown_keys(review, dim, "user_id"), str(tmp_path / name))
+        known = spark.read.schema("user_id string").parquet(str(tmp_path / name))
+        fact = facts.engagement_fact(review, tip, checkin, days, dim, businesses, known)
+        if name == "some":
+            assert rows_of(fact) == rows_of(plain)
+    moves = [e for e in exchanges(fact) if "_salt" in e]
+    assert len(moves) == 2 and not [e for e in exchanges(fact) if re.match(r"Exchange hashpartitioning\(user_id#\d+, \d+\)", e)]
+    assert rows_of(facts.engagement_fact(review, tip, checkin, days, users, businesses)) == rows_of(plain)
+
+
+def test_build_places_facts_and_counts_its_events(spark, made, tmp_path):
+    """The build on skewed events: the audit counts each once, and a lookup of a business reads little of a fact."""
+    n = F.col("id")
+    business = spark.range(38).select(
+        F.concat(F.lit("b"), "id").alias("business_id"), F.lit("n").alias("name"), F.lit("a").alias("address"), F.lit("c").alias("city"),
+        F.lit("s").alias("state"), F.lit("p").alias("postal_code"), F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude"),
+        F.lit(3.0).alias("stars"), n.alias("review_count"), F.lit(1).alias("is_open"), F.lit("{}").alias("attributes"),
+        F.lit("x, y").alias("categories"), F.lit(None).cast("string").alias("hours"))
+    user = made["users"].select(
+        "user_id", F.lit("n").alias("name"), F.lit("2010-01-02 03:04:05").alias("yelping_since"), F.lit(1).cast("bigint").alias("review_count"),
+        F.lit(1.0).alias("average_stars"), F.lit(0).cast("bigint").alias("fans"), F.lit("").alias("elite"),
+        *[F.lit(0).cast("bigint").alias(c) for c in schemas.COMPLIMENTS])
+    review = made["review"].withColumn("text", F.lit("t"))
+    audit = {}
+    build_star_schema(spark, {"business": business, "user": user, "review": review, "tip": made["tip"], "checkin": made["checkin"]},
+                      str(tmp_path / "star"), score_col="score", audit=audit)
+    assert audit["review"]["rows"] == 3000 and audit["tip"]["rows"] == 1500
+    assert audit["review"]["bad_dates"] == review.where("date = 'no date'").count()
+    fact = spark.read.parquet(str(tmp_path / "star/marketing/FactCustomerEngagement"))
+    known = review.where("date != 'no date'").join(made["users"], "user_id", "left_semi").join(made["businesses"], "business_id", "left_semi")
+    assert fact.count() == known.count()
+    for folder in ("manager/Fact_Business_Performance", "operations/Fact_Operational_Performance", "marketing/FactCustomerEngagement"):
+        stored = spark.read.parquet(str(tmp_path / "star" / folder)).withColumn("file", F.input_file_name())
+        assert stored.where("business_id is not null").groupBy("business_id").agg(F.count_distinct("file").alias("files")).agg(F.max("files")).first()[0] <= 8
