@@ -363,3 +363,33 @@ def test_build_places_facts_and_counts_its_events(spark, made, tmp_path):
     for folder in ("manager/Fact_Business_Performance", "operations/Fact_Operational_Performance", "marketing/FactCustomerEngagement"):
         stored = spark.read.parquet(str(tmp_path / "star" / folder)).withColumn("file", F.input_file_name())
         assert stored.where("business_id is not null").groupBy("business_id").agg(F.count_distinct("file").alias("files")).agg(F.max("files")).first()[0] <= 8
+
+
+def test_review_ids_are_stored_only_if_shared(spark, made, tmp_path):
+    """What the dashboards store grows with businesses and days, and with review ids under several businesses."""
+    review = made["review"].where("review_id is not null").withColumn("categories", F.array("business_id"))
+    review = review.unionByName(review.where("review_id in ('r10', 'r11')").withColumn("business_id", F.lit("b5")))
+    profile = made["businesses"].select("business_id", F.lit("s").alias("state"), F.array("business_id").alias("categories"))
+    counts, kept = {}, {}
+
+    def keep(name, frame):
+        frame.write.parquet(f"{tmp_path}/kept/{name}")
+        kept[name] = spark.read.schema(frame.schema).parquet(f"{tmp_path}/kept/{name}")
+        counts[name] = kept[name].count()
+        return kept[name]
+    unknown = {key: keep(f"no_{key}", facts.unknown_keys(review, dim, key)) for key, dim in (
+        ("user_id", made["users"]), ("business_id", made["businesses"]))}
+    engagement = facts.engagement_rows_without(review, unknown["user_id"], unknown["business_id"])
+    plain = facts.engagement_rows(review, None, made["users"], made["businesses"])
+    assert rows_of(engagement) == rows_of(plain) and counts["no_user_id"] == 3 and counts["no_business_id"] == 3
+    activity = events.activity_rows(review)
+    users = made["users"].select("user_id", F.lit(1).alias("review_count"), F.lit(1.0).alias("average_stars"), F.lit(1).alias("fans"),
+                                 F.lit(1).alias("compliment_count"))
+    labels = made["businesses"].select("business_id", F.lit("l").alias("subcategory"))
+    from starmart.operators import dimensions as dims
+    sets = dash.all_dashboards(facts.operational_daily_fact(activity), dims.dim_date(events.review_checkin_dates(activity), "operations"),
+                               engagement, facts.monthly_fact(activity), labels, profile, users, keep)
+    assert sets["marketing"]["topCategories"].collect() == dash.top_categories(plain, profile).collect()
+    assert sets["marketing"]["reviewsByState"].collect() == dash.top_states(plain, profile).collect()
+    assert kept["owners"].where("review_id is not null").count() == 2 and counts["owners"] <= 38 + 2
+    assert counts["engagement"] <= 38 + 63  # businesses and days
